@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.operators.split import stratified_split
+from corpuslab.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the shape of an article table."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"),
         F.col("lang").alias("category"),
         F.col("source").alias("section"),

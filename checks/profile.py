@@ -11,6 +11,7 @@ from corpuslab.operators import profile as pf
 from corpuslab.operators.quality import check_partition
 from corpuslab.operators.quantiles import exact_quantiles, trim_quantile
 from corpuslab.operators.sets import mark_duplicates, partition_check, with_row_index
+from corpuslab.session import materialize
 
 PUBLISHER = "WIRE"
 UP = "half_up"
@@ -129,7 +130,7 @@ def histogram(spark, d):
 
 
 def histogram_trimmed(spark, d):
-    lengths = articles(spark, d).select(tx.count_words("body").alias("body_words"))
+    lengths = materialize(articles(spark, d).select(tx.count_words("body").alias("body_words")), "lengths")
     out = pf.histogram(trim_quantile(lengths, "body_words", 0.99), "body_words", 50)
     return out.select("bin", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "n")
 

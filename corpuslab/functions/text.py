@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 SPACE = r"[\s\x1c-\x1f]"
 TAG = r"<[^>]+>"
 URL = r"(?U)https?://\S+|www\.\S+"
-WORD = r"(?U)\b[\w'-]+\b"
+WORD = r"[\p{L}\p{N}_]++(?:['-]++[\p{L}\p{N}_]++)*+"
 
 # Characters that compatibility composition leaves alone, whatever stands
 # next to them: ASCII, the stable part of Latin-1, Latin letters up to U+0131,

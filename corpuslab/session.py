@@ -52,3 +52,13 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what} has more than {limit} rows")
     return rows
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartition a scan with fewer splits than cores; leave all others alone.
+
+    A single small file is one split, which would run costly text functions on
+    one core.  A big table has many splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

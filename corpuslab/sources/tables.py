@@ -94,7 +94,12 @@ def write_table(
         df = df.orderBy(*keys)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuslab.operators.labelling import pending
@@ -18,16 +19,18 @@ def label_stream(
     checkpoint: str,
     *,
     id: str = "id",
-    event_time: str = "arrived_at",
-    watermark: str = "1 day",
+    remember: str = "1 day",
 ) -> StreamingQuery:
     """Append audit records for the documents of a stream, then stop.
 
-    A document seen again within the watermark is dropped by state; one that
-    was labelled before is dropped by the audit.  A micro-batch that is
-    repeated after a failure asks only for what it did not write.
+    A document delivered again within ``remember`` is dropped by state; one
+    that was labelled before is dropped by the audit.  The watermark follows
+    the time of arrival, so no document is ever late and lost.  A micro-batch
+    that is repeated after a failure asks only for what it did not write.
     """
-    fresh = stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([id])
+    columns = stream.columns
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+    fresh = arrived.dropDuplicatesWithinWatermark([id]).select(*columns)
 
     def write(batch: DataFrame, _: int) -> None:
         log.append(label(pending(batch, log.current(), id)))

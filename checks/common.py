@@ -31,7 +31,7 @@ ARTICLES = """a AS (SELECT doc_id AS id, lang AS category, source AS section,
 
 
 def split_documents(spark: SparkSession, sf_dir: str, ratio: float = 0.8) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return stratified_split(docs, "lang", "doc_id", ratio, order="md5")
 
 

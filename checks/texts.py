@@ -83,7 +83,7 @@ def tfidf_long(spark, d):
 
 
 def nb_predictions(spark, d):
-    docs = spread(split_documents(spark, d), "doc_id")
+    docs = split_documents(spark, d).select("doc_id", "text", "lang", "split")
     return nb_study(docs, "doc_id", "text", "lang", max_features=500)
 
 

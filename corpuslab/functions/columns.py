@@ -12,8 +12,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _literal_map(mapping: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+def quoted(value: str) -> str:
+    """A string as SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(mapping: Mapping[str, str]) -> Column:
+    """Constant map, parsed in one piece."""
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in mapping.items()) + ")")
 
 
 def strip_labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -57,7 +63,7 @@ def map_alias(c: Column | str, mapping: Mapping[str, str]) -> Column:
     value = canonical_name(c)
     if not mapping:
         return value
-    return F.coalesce(F.element_at(_literal_map(mapping), value), value)
+    return F.coalesce(F.element_at(literal_map(mapping), value), value)
 
 
 def display_name(c: Column | str, mapping: Mapping[str, str]) -> Column:
@@ -66,7 +72,7 @@ def display_name(c: Column | str, mapping: Mapping[str, str]) -> Column:
     fallback = F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
     if not mapping:
         return fallback
-    return F.coalesce(F.element_at(_literal_map(mapping), c), fallback)
+    return F.coalesce(F.element_at(literal_map(mapping), c), fallback)
 
 
 def reorder(df: DataFrame, first: Sequence[str]) -> DataFrame:

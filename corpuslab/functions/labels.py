@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuslab.functions.columns import literal_map, quoted
 from corpuslab.functions.text import strip
 from corpuslab.session import collect_bounded
 
@@ -84,15 +85,12 @@ class Taxonomy:
 
     def parent_of(self, section: Column | str) -> Column:
         """Category of a section; null when the section is unknown."""
-        pairs = [F.lit(x) for kv in self.parents.items() for x in kv]
-        return F.element_at(F.create_map(*pairs), _col(section))
+        return F.element_at(literal_map(self.parents), _col(section))
 
     def sections_of(self, category: Column | str) -> Column:
         """Array of the sections of a category; null when it is unknown."""
-        pairs: list[Column] = []
-        for c, sections in self.tree.items():
-            pairs += [F.lit(c), F.array(*[F.lit(s) for s in sections])]
-        return F.element_at(F.create_map(*pairs), _col(category))
+        entries = [f"{quoted(c)}, array({', '.join(map(quoted, s))})" for c, s in self.tree.items()]
+        return F.element_at(F.expr(f"map({', '.join(entries)})"), _col(category))
 
     def has_category(self, category: Column | str) -> Column:
         return _col(category).isin(self.categories)

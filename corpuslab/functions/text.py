@@ -11,18 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Text patterns.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 SPACE = r"[\s\x1c-\x1f]"
 TAG = r"<[^>]+>"
 URL = r"(?U)https?://\S+|www\.\S+"
 WORD = r"[\p{L}\p{N}_]++(?:['-]++[\p{L}\p{N}_]++)*+"
 
 # Characters that compatibility composition leaves alone, whatever stands
-# next to them: ASCII, the stable part of Latin-1, Latin letters up to U+0131,
-# basic Cyrillic and the unified ideographs.
-NFKC_STABLE = (
-    r"\x00-\x7f¡-§©«-®°±¶·»"
-    r"¿-ıЀ-џ一-鿿"
-)
+# next to them: ASCII and the stable part of Latin-1; Latin letters up to
+# U+0131, basic Cyrillic, unified ideographs.
+NFKC_LATIN = r"\x00-\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff"
+NFKC_OTHER = r"\u0100-\u0131\u0400-\u045f\u4e00-\u9fff"
+NFKC_STABLE = rf"\A[{NFKC_LATIN}]*+(?:[{NFKC_OTHER}]++[{NFKC_LATIN}]*+)*+\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,7 +34,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(_col(c), rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def clean_text(c: Column | str) -> Column:
@@ -52,8 +55,7 @@ def nfkc(c: Column | str) -> Column:
     is handed to Python; all other rows send a null there and stay in the JVM.
     """
     c = _col(c)
-    unstable = c.rlike(f"[^{NFKC_STABLE}]")
-    return F.when(unstable, _compose(F.when(unstable, c))).otherwise(c)
+    return F.coalesce(_compose(F.when(~c.rlike(NFKC_STABLE), c)), c)
 
 
 def normalize_text(c: Column | str, *, unicode_form: bool = True) -> Column:
@@ -157,7 +159,7 @@ def truncate_text(c: Column | str, limit: int | None) -> Column:
         return c
     if limit <= 0:
         raise ValueError("limit must be positive")
-    cut = F.regexp_replace(F.substring(c, 1, limit), rf"(?U){SPACE}+\z", "")
+    cut = F.rtrim(F.substring(c, 1, limit), F.lit(SPACE_CHARS))
     return F.when(F.length(c) > limit, cut).otherwise(c)
 
 

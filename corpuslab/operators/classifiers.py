@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.functions.columns import throughput
-from corpuslab.functions.labels import decode, encode, label_domain
+from corpuslab.functions.labels import decode, encode
 from corpuslab.operators.evaluate import confusion_matrix, metric_rows
 from corpuslab.operators.sets import union_all
+from corpuslab.session import collect_bounded
 
 # Settings of each kind, any of which a caller may replace.
 DEFAULTS: dict[str, dict[str, Any]] = {
@@ -119,37 +120,69 @@ SUMMARY_SCHEMA = (
 )
 
 
-def _with_index(rows: DataFrame, label: str, classes: Sequence[str], balanced: bool) -> DataFrame:
-    out = rows.withColumn(LABEL, encode(label, classes).cast("double"))
-    if not balanced:
-        return out
-    sizes = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    pairs = [F.lit(x) for c in classes for x in (c, total / (len(classes) * sizes[c]))]
-    return out.withColumn(WEIGHT, F.element_at(F.create_map(*pairs), F.col(label)))
+@dataclass
+class Prepared:
+    """Cached training rows ``(features, label_index[, class_weight])`` of one condition."""
 
+    data: DataFrame
+    classes: list[str]
+    n_rows: int
+    dim: int
 
-def train_one(
-    features: DataFrame, labels: DataFrame, kind: str, *, target: str, label_source: str, id: str = "id",
-    label: str = "label", balanced: bool = False, params: Mapping[str, Any] | None = None, seed: int = 42,
-) -> Trained:
-    """Fit one model on ``(id, features)`` joined with ``(id, label)``."""
-    classes = label_domain(labels, label, MAX_CLASSES)
+
+def prepare(
+    features: DataFrame, labels: DataFrame, *, id: str = "id", label: str = "label", balanced: bool = False
+) -> Prepared:
+    """Join features with labels once, for all models of a condition.
+
+    The rows are cached with spill to disk; call ``data.unpersist()`` after the
+    last fit.  Class sizes come from one small aggregate.
+    """
+    known = labels.select(id, F.col(label).alias("_label"))
+    counts = known.groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = dict(collect_bounded(counts, MAX_CLASSES, "label counts"))
+    classes = sorted(c for c in sizes if c is not None)
     if len(classes) < 2:
-        raise ValueError(f"target {target} has fewer than two classes")
-    rows = features.join(labels.select(id, label), id)
-    n_rows, dim = rows.count(), _dimension(features)
-    data = _with_index(rows, label, classes, balanced).select("features", LABEL, *([WEIGHT] if balanced else []))
-    estimator = build_classifier(kind, n_rows, len(classes), dim, params, balanced, seed)
+        raise ValueError("a target needs at least two classes")
+    rows = features.join(known, id).withColumn(LABEL, encode("_label", classes).cast("double"))
+    columns = ["features", LABEL]
+    if balanced:
+        total = sum(sizes[c] for c in classes)
+        weights = {c: total / (len(classes) * sizes[c]) for c in classes}
+        pairs = [F.lit(x) for kv in weights.items() for x in kv]
+        rows = rows.withColumn(WEIGHT, F.element_at(F.create_map(*pairs), F.col("_label")))
+        columns.append(WEIGHT)
+    data = rows.select(*columns).persist()
+    return Prepared(data, classes, data.count(), _dimension(data))
+
+
+def fit_one(prepared: Prepared, kind: str, *, target: str, label_source: str, balanced: bool = False,
+            params: Mapping[str, Any] | None = None, seed: int = 42) -> Trained:
+    """Fit and time one model; it must have learned every class."""
+    classes = prepared.classes
+    estimator = build_classifier(kind, prepared.n_rows, len(classes), prepared.dim, params, balanced, seed)
     start = time.perf_counter()
-    model = estimator.fit(data)
+    model = estimator.fit(prepared.data)
     seconds = time.perf_counter() - start
     learned = getattr(model, "numClasses", None)
     if learned is None:
         learned = len(model.models)
     if learned != len(classes):
         raise ValueError(f"{kind} learned {learned} of {len(classes)} classes")
-    return Trained(model, kind, target, label_source, classes, n_rows, dim, seconds)
+    return Trained(model, kind, target, label_source, classes, prepared.n_rows, prepared.dim, seconds)
+
+
+def train_one(
+    features: DataFrame, labels: DataFrame, kind: str, *, target: str, label_source: str, id: str = "id",
+    label: str = "label", balanced: bool = False, params: Mapping[str, Any] | None = None, seed: int = 42,
+) -> Trained:
+    """Fit one model on ``(id, features)`` joined with ``(id, label)``."""
+    prepared = prepare(features, labels, id=id, label=label, balanced=balanced)
+    try:
+        return fit_one(prepared, kind, target=target, label_source=label_source, balanced=balanced,
+                       params=params, seed=seed)
+    finally:
+        prepared.data.unpersist()
 
 
 def _dimension(features: DataFrame) -> int:
@@ -165,18 +198,17 @@ def run_grid(
 ) -> list[Trained]:
     """All models on all targets and label sources over one feature table.
 
-    ``labels`` is long: ``(id, target, label_source, label)``.  Features are
-    read once per fit from the table the caller wrote or cached.
+    ``labels`` is long: ``(id, target, label_source, label)``.
     """
     experiments = labels.select("target", "label_source").distinct().orderBy("target", "label_source")
     trained = []
-    for target, source in experiments.limit(1000).collect():
+    for target, source in collect_bounded(experiments, 1000, "experiments"):
         mine = labels.filter((F.col("target") == target) & (F.col("label_source") == source))
+        prepared = prepare(features, mine, id=id, balanced=balanced)
         for kind, params in models.items():
-            trained.append(
-                train_one(features, mine, kind, target=target, label_source=source, id=id,
-                          balanced=balanced, params=params, seed=seed)
-            )
+            trained.append(fit_one(prepared, kind, target=target, label_source=source, balanced=balanced,
+                                   params=params, seed=seed))
+        prepared.data.unpersist()
     return trained
 
 

@@ -24,6 +24,7 @@ def nb_fit(
 ) -> tuple[DataFrame, DataFrame]:
     """Log probabilities from the long table ``(id, term_idx, weight)``.
 
+    A table that carries the label already is not joined again.
     Returns a term table ``(term_idx, gain)``, where ``gain`` is an array over
     the sorted classes of ``ln(N_ct + alpha) - ln(alpha)``, and a one-row-per-
     class table ``(class_idx, label, prior, base)`` with ``base`` the log
@@ -33,7 +34,10 @@ def nb_fit(
     classes = sorted(classes) if classes is not None else label_domain(labels, label, MAX_CLASSES)
     if not 1 < len(classes) <= MAX_CLASSES:
         raise ValueError(f"naive Bayes needs 2 to {MAX_CLASSES} classes")
-    tagged = features.join(labels.select(id, F.col(label).alias("_c")), id)
+    if label in features.columns:
+        tagged = features.withColumnRenamed(label, "_c")
+    else:
+        tagged = features.join(labels.select(id, F.col(label).alias("_c")), id)
     sums = [
         F.sum(F.when(F.col("_c") == c, F.col(weight)).otherwise(0.0)).alias(f"_s{i}") for i, c in enumerate(classes)
     ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuslab.session import collect_bounded
+from corpuslab.session import collect_bounded, materialize
 
 SLICES = 4096
 
@@ -88,6 +88,7 @@ def stratified_split(
         .filter(F.col("_rank") == F.col("_need"))
         .select("_l", F.struct("_key", "_id").alias("_last"))
     )
+    last = materialize(last, "split-thresholds")  # one row per label, read by every later pass
     out = df.join(last, F.col(label).eqNullSafe(F.col("_l")), "left")
     mine = F.struct(key.alias("_key"), F.col(id).alias("_id"))
     train = F.coalesce(mine <= F.col("_last"), F.lit(False))

@@ -33,6 +33,8 @@ def label_stream(
     fresh = arrived.dropDuplicatesWithinWatermark([id]).select(*columns)
 
     def write(batch: DataFrame, _: int) -> None:
+        if batch.isEmpty():  # a batch that only advances the watermark
+            return
         log.append(label(pending(batch, log.current(), id)))
 
     return (

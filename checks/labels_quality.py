@@ -117,7 +117,9 @@ def min_classes_check(spark, d):
 def prediction_check(spark, d):
     labels, docs = table(spark, d, "labels"), table(spark, d, "documents")
     pred = labels.select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("predicted"))
-    pred = pred.unionByName(labels.filter("toxic = 1").select("doc_id", F.lit("q9").alias("predicted")))
+    pred = pred.unionByName(labels.filter("toxic = 1").select(
+        "doc_id", F.concat(F.lit("q"), (F.col("toxic") + 8).cast("string")).alias("predicted")
+    ))
     domain = labels.select(F.concat(F.lit("q"), F.col("quality").cast("string")).alias("l")).distinct()
     return q.check_predictions(pred, domain, docs, "doc_id", "predicted")
 

@@ -259,18 +259,19 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
         raise ValueError("bins must be positive")
     value = F.col(col).cast("double")
     src = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    span = src.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    flat = span["lo"] == span["hi"]
-    low = F.when(flat, span["lo"] - 0.5).otherwise(span["lo"])
-    high = F.when(flat, span["hi"] + 0.5).otherwise(span["hi"])
+    low, high = src.agg(F.min("v"), F.max("v")).first()  # two numbers, constants of the second pass
+    if low is None:
+        low, high = 0.0, 1.0
+    if low == high:
+        low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    index = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).cast("int")
+    index = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = src.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(counts, "bin", "left").select(
         "bin",
-        (low + F.col("bin") * width).alias("lower"),
-        (low + (F.col("bin") + 1) * width).alias("upper"),
+        (F.lit(low) + F.col("bin") * F.lit(width)).alias("lower"),
+        (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
     ).orderBy("bin")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions.columns import pct, rounded
 from corpuslab.functions.text import strip
 from corpuslab.operators.quantiles import counted_percentile, exact_quantiles
+from corpuslab.session import materialize
 
 
 def label_distribution(df: DataFrame, col: str, dp: int = 2, mode: str = "even") -> DataFrame:
@@ -293,7 +294,7 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     return (
         df.select(by, col)
         .filter(F.col(col).isNotNull() & ~F.isnan(col))
-        .join(quartiles, by)
+        .join(materialize(quartiles, "quartiles"), by)
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, value)).alias("whisker_low"),

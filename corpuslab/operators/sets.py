@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslab.operators.skew import join_hot_keys
+
 
 def partition_check(whole: DataFrame, parts: Sequence[DataFrame], id: str) -> DataFrame:
     """Ids that a split does not place exactly once.
@@ -102,8 +104,8 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], keep: str = "first", ord
 
     ``keep="none"`` flags all members of a group with several rows;
     ``keep="first"`` leaves the member with the lowest ``order`` unflagged, so
-    that column has to be unique.  Groups are only aggregated, never gathered:
-    a key that holds a third of the rows costs one counter and one minimum.
+    that column has to be unique.  Groups are only aggregated, never gathered,
+    and a key that holds a third of the rows is joined without a shuffle.
     """
     if keep not in ("first", "none"):
         raise ValueError(f"unknown keep: {keep}")
@@ -112,11 +114,9 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], keep: str = "first", ord
     aggregates = [F.count(F.lit(1)).alias("_n")]
     if order is not None:
         aggregates.append(F.min(order).alias("_first"))
-    groups = df.groupBy(*keys).agg(*aggregates).filter("_n > 1")
-    renamed = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                            *[c for c in groups.columns if c not in keys])
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    joined = df.join(renamed, same, "left")
+    keyed = df.withColumn("_key", F.sha2(F.to_json(F.struct(*keys)), 256))  # null shows as absent
+    groups = keyed.select("_key", *([order] if order else [])).groupBy("_key").agg(*aggregates).filter("_n > 1")
+    joined = join_hot_keys(keyed, groups, ["_key"], "_n", how="left")
     flag = F.col("_n").isNotNull()
     if keep == "first":
         flag = flag & (F.col(order) != F.col("_first"))

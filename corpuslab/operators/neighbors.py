@@ -336,6 +336,7 @@ def knn(
     else:
         width = bits if bits is not None else max(1, math.ceil(math.log2(max(2, n / 2048))))
         hits = _lsh_hits(groups, n, k, block_rows, tables, width, seed)
+    hits = materialize(hits, "knn-hits")  # k rows per vector; later passes skip the multiplication
 
     # The k+1 best rows of a group's vector, own copies included: dropping the
     # row itself leaves its k neighbours.
@@ -369,13 +370,18 @@ def knn(
 # Labels of neighbours -----------------------------------------------------------------------
 
 def gather_neighbors(pairs: DataFrame, meta: DataFrame, id: str, cols: Sequence[str]) -> DataFrame:
-    """Attach columns of both ends: ``article_<col>`` and ``neighbor_<col>``."""
+    """Attach columns of both ends: ``article_<col>`` and ``neighbor_<col>``.
+
+    An article occurs k times, but one row may be the neighbour of all its
+    copies, so neighbours are counted and the frequent ones joined apart.
+    """
     ends = lambda key, tag: meta.select(
         F.col(id).alias(key), *[F.col(c).alias(f"{tag}_{c}") for c in cols]
     )
-    return pairs.join(ends("id", "article"), "id").join(ends("neighbor_id", "neighbor"), "neighbor_id").select(
-        *pairs.columns, *[f"article_{c}" for c in cols], *[f"neighbor_{c}" for c in cols]
-    )
+    uses = pairs.groupBy("neighbor_id").agg(F.count(F.lit(1)).alias("_uses"))
+    neighbours = ends("neighbor_id", "neighbor").join(uses, "neighbor_id")
+    both = join_hot_keys(pairs.join(ends("id", "article"), "id"), neighbours, ["neighbor_id"], "_uses")
+    return both.select(*pairs.columns, *[f"article_{c}" for c in cols], *[f"neighbor_{c}" for c in cols])
 
 
 def neighbor_pairs(

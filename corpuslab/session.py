@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}  # by application, for local sessions without a folder
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -24,8 +25,10 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="corpuslab-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        application = spark.sparkContext.applicationId
+        if application not in _local_roots:
+            _local_roots[application] = tempfile.mkdtemp(prefix="corpuslab-")
+        root = _local_roots[application]
     return root.rstrip("/")
 
 

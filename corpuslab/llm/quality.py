@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslab.llm.common import slices
-from corpuslab.session import materialize
+from corpuslab.session import collect_bounded, materialize
 
-WORD_BITS = 16
+WORD_BITS = 20
 SHAPES = 128
-FEATURES = (1 << WORD_BITS) + SHAPES + 2
+WORDS = 1 << WORD_BITS
+FEATURES = WORDS + SHAPES + 2
 SHAPE_SCALE = 8.0
 CACHE_TOKENS = 300_000
 MAX_ROWS = 12_000  # rated rows that a model is fitted on
 MAX_GRADES = 100
+MIN_SHARE = 0.003  # a word counts if it occurs in this share of the sample, and in MIN_TEXTS texts
+MIN_TEXTS = 3
+PENALTY_SHARE = 1 / 600  # weight of the squared penalty, per sample row
+MIN_TAIL = 0.35  # the draw is even over the grades, so the good grade is rarer in it than among all texts
 
 
 def token_features(token: str) -> tuple[int, int]:
@@ -56,7 +61,7 @@ class Featurizer:
         known = self.known
         if len(known) > CACHE_TOKENS:
             known.clear()
-        for t in counts.keys() - known.keys():
+        for t in [t for t in counts if t not in known]:
             known[t] = token_features(t)
         pairs = np.array([known[t] for t in counts], np.int64)
         number = np.fromiter(counts.values(), np.float64, len(counts))
@@ -65,15 +70,14 @@ class Featurizer:
         shapes = np.flatnonzero(shares)
         again = sum(map(operator.eq, tokens, tokens[1:])) / len(tokens)
         rest = np.array([again, 1 - len(counts) / len(tokens)])
-        base = 1 << WORD_BITS
-        index = np.concatenate([words, base + shapes, [base + SHAPES, base + SHAPES + 1]])
+        index = np.concatenate([words, WORDS + shapes, [WORDS + SHAPES, WORDS + SHAPES + 1]])
         value = np.concatenate([np.ones(len(words)), SHAPE_SCALE * shares[shapes], SHAPE_SCALE * rest])
         return index, value
 
 
 @dataclasses.dataclass
 class OrdinalModel:
-    """Weights shared by all grades, and increasing thresholds between neighbouring grades."""
+    """Weights shared by all grades (zero for words that do not count), and increasing thresholds between grades."""
 
     weights: np.ndarray
     thresholds: np.ndarray
@@ -90,34 +94,35 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _unpack(theta: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights, thresholds and their steps; steps are exponentials, so thresholds stay ordered."""
-    raw = theta[FEATURES:]
+    weights, raw = theta[: len(theta) - levels + 1], theta[len(theta) - levels + 1 :]
     steps = np.concatenate([raw[:1], np.exp(np.clip(raw[1:], -30, 30))])
-    return theta[:FEATURES], np.cumsum(steps[: levels - 1]), steps
+    return weights, np.cumsum(steps), steps
 
 
-def loss_and_gradient(theta: np.ndarray, rows: list, levels: int) -> tuple[float, np.ndarray]:
-    """Negative log likelihood of cumulative-link rows (level, index, value) and its gradient."""
+def loss_and_gradient(
+    theta: np.ndarray, level: np.ndarray, sizes: np.ndarray, index: np.ndarray, value: np.ndarray, levels: int
+) -> tuple[float, np.ndarray]:
+    """Negative log likelihood of cumulative-link rows and its gradient.
+
+    ``sizes`` says how many of the indices and values belong to each row.
+    """
     weights, cuts, steps = _unpack(theta, levels)
-    sizes = np.array([len(r[1]) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    index = np.concatenate([r[1] for r in rows])
-    value = np.concatenate([r[2] for r in rows])
-    level = np.array([r[0] for r in rows])
-    score = np.bincount(owner, weights=weights[index] * value, minlength=len(rows))
+    owner = np.repeat(np.arange(len(level)), sizes)
+    score = np.bincount(owner, weights=weights[index] * value, minlength=len(level))
     upper = np.where(level < levels - 1, np.append(cuts, np.inf)[level], np.inf) - score
     lower = np.where(level > 0, np.append(-np.inf, cuts)[level], -np.inf) - score
     a, b = _sigmoid(upper), _sigmoid(lower)
     p = np.maximum(a - b, 1e-12)
     da, db = a * (1 - a), b * (1 - b)
     gradient = np.zeros(len(theta))
-    gradient[:FEATURES] = np.bincount(index, weights=value * ((da - db) / p)[owner], minlength=FEATURES)
+    gradient[: len(weights)] = np.bincount(index, weights=value * ((da - db) / p)[owner], minlength=len(weights))
     by_cut = np.zeros(levels - 1)
     inner = level < levels - 1
     np.add.at(by_cut, level[inner], -(da / p)[inner])
     inner = level > 0
     np.add.at(by_cut, level[inner] - 1, (db / p)[inner])
     tail = np.cumsum(by_cut[::-1])[::-1]
-    gradient[FEATURES:] = tail * np.concatenate([[1.0], steps[1:]])
+    gradient[len(weights) :] = tail * np.concatenate([[1.0], steps[1:]])
     return float(-np.log(p).sum()), gradient
 
 
@@ -165,16 +170,16 @@ def draw(rated: DataFrame, key_col: str, grade_col: str = "grade", max_rows: int
 
 
 def fit_ordinal(
-    rated: DataFrame, text_col: str = "text", grade_col: str = "grade", steps: int = 40, penalty: float = 0.5
+    rated: DataFrame, text_col: str = "text", grade_col: str = "grade", steps: int = 60
 ) -> OrdinalModel:
     """Fit on all rows of ``rated``, a sample whose size the caller bounds (see ``draw``).
 
     Rows without a grade are ignored; null text is empty text.  With fewer than
-    two grades the model has no thresholds, so nothing can be rejected.  Every
-    step is one job over the stored features, whose partial gradients are added
-    up on the driver.
+    two grades the model has no thresholds, so nothing can be rejected.  Words
+    of a few sample texts get no weight: they would fit the sample only.  Texts
+    become features in parallel; the steps then run in one task over the
+    compact features, whose size the sample bounds.
     """
-    spark = rated.sparkSession
     rows = rated.select(F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade")).where("grade IS NOT NULL")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,38 +198,68 @@ def fit_ordinal(
     if len(grades) < 2:
         return OrdinalModel(np.zeros(FEATURES), np.zeros(0), grades)
     level = {g: k for k, g in enumerate(grades)}
-    levels = len(grades)
-
-    def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
-        sent = spark.sparkContext.broadcast(theta)
-
-        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            loss, gradient = 0.0, np.zeros(len(sent.value))
-            for batch in slices(batches, "index"):
-                parts = [
-                    (level[g], np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4").astype(np.float64))
-                    for g, i, v in zip(*(batch.column(c).to_pylist() for c in ("grade", "index", "value")))
-                ]
-                if parts:
-                    more, step = loss_and_gradient(sent.value, parts, levels)
-                    loss, gradient = loss + more, gradient + step
-            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([gradient.tobytes()])], names=["loss", "gradient"])
-
-        got = stored.mapInArrow(part, "loss double, gradient binary").collect()  # a row per file of the bounded sample
-        sent.unpersist()
-        weights = theta[:FEATURES]
-        gradient = np.sum([np.frombuffer(r["gradient"]) for r in got], axis=0)
-        gradient[:FEATURES] += penalty * weights
-        return sum(r["loss"] for r in got) + penalty / 2 * float(weights @ weights), gradient
-
-    start = np.zeros(FEATURES + levels - 1)
-    theta = minimize(evaluate, start, steps)
+    levels, total = len(grades), stored.count()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(WORDS, np.int64)
+        for batch in slices(batches, "index"):
+            for index in batch.column("index").to_pylist():
+                at = np.frombuffer(index, "<i4")
+                found[at[at < WORDS]] += 1
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["word", "n"])
+
+    frequent = stored.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= max(MIN_TEXTS, MIN_SHARE * total)
+    )
+    words = np.array(sorted(r["word"] for r in collect_bounded(frequent, WORDS, "words")), np.int64)
+    kept = np.concatenate([words, np.arange(WORDS, FEATURES)])
+    penalty = PENALTY_SHARE * total
+    fields = ("level", "size", "index", "value")
+
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows without the words that do not count, many in one: levels, sizes, indices among ``kept``, values."""
+        for batch in slices(batches, "index"):
+            parts = []
+            for index, value in zip(batch.column("index").to_pylist(), batch.column("value").to_pylist()):
+                at = np.frombuffer(index, "<i4")
+                place = np.minimum(np.searchsorted(kept, at), len(kept) - 1)
+                counts = kept[place] == at
+                parts.append((place[counts], np.frombuffer(value, "<f4")[counts]))
+            made = (
+                np.array([level[g] for g in batch.column("grade").to_pylist()], "<i4"), np.array([len(p[0]) for p in parts], "<i4"),
+                np.concatenate([p[0] for p in parts]).astype("<i4"), np.concatenate([p[1] for p in parts]),
+            )
+            yield pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary()) for m in made], names=list(fields))
+
+    blocks = materialize(stored.mapInArrow(compact, ", ".join(f"{f} binary" for f in fields)), "rated-blocks")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All steps of the bounded sample in one task."""
+        rows = [
+            (*(np.frombuffer(r[f], "<i4") for f in fields[:3]), np.frombuffer(r["value"], "<f4").astype(np.float64))
+            for batch in batches for r in batch.to_pylist()
+        ]
+        size = len(kept)
+
+        def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
+            parts = [loss_and_gradient(theta, *r, levels) for r in rows]
+            gradient = np.sum([g for _, g in parts], axis=0)
+            gradient[:size] += penalty * theta[:size]
+            return sum(f for f, _ in parts) + penalty / 2 * float(theta[:size] @ theta[:size]), gradient
+
+        theta = minimize(evaluate, np.zeros(size + levels - 1), steps)
+        yield pa.RecordBatch.from_arrays([pa.array([theta.tobytes()], pa.binary())], names=["theta"])
+
+    theta = np.frombuffer(blocks.coalesce(1).mapInArrow(fit, "theta binary").first()[0])
     weights, cuts, _ = _unpack(theta, levels)
-    return OrdinalModel(weights, cuts, grades)
+    full = np.zeros(FEATURES)
+    full[kept] = weights
+    return OrdinalModel(full, cuts, grades)
 
 
 def grade_documents(
-    docs: DataFrame, model: OrdinalModel, keep_grade: int, min_tail: float = 0.5, text_col: str = "text"
+    docs: DataFrame, model: OrdinalModel, keep_grade: int, min_tail: float = MIN_TAIL, text_col: str = "text"
 ) -> DataFrame:
     """All columns of every row in a struct ``row``, with expected_grade, tail and kept.
 
@@ -285,7 +320,7 @@ def fit_ratings(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 def select_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_grade: int = 2,
-    min_tail: float = 0.5,
+    min_tail: float = MIN_TAIL,
 ) -> DataFrame:
     """Rows of ``docs`` that a model fitted on their ratings does not reject, with all columns."""
     graded = grade_documents(docs, fit_ratings(docs, labels, id_col, text_col), keep_grade, min_tail, text_col)

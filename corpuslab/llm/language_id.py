@@ -107,7 +107,7 @@ class Identifier:
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.base = {w: k for k, w in enumerate(model.words)}
-        self.table = np.array(list(model.words.values())).reshape(-1, len(model.languages))
+        self.table = np.array(list(model.words.values())).reshape(-1, max(1, len(model.languages)))
         self.known = dict(self.base)
         self.extra: list[np.ndarray] = []
 
@@ -137,7 +137,7 @@ class Identifier:
         if len(self.extra) > CACHE_WORDS:
             self.known, self.extra = dict(self.base), []
             known = self.known
-        for w in counts.keys() - known.keys():
+        for w in [w for w in counts if w not in known]:
             if any(c.isalpha() for c in w):
                 known[w] = len(self.table) + len(self.extra)
                 self.extra.append(self.backoff(w))

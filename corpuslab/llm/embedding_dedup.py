@@ -261,7 +261,7 @@ def near_duplicate_vectors(
         "label", "vec", "first_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "cls").alias("root")
     )
     rooted = materialize(rooted, "ego-roots")
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component"))
+    smallest = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component")), "ego-smallest")
     facts = rooted.join(smallest, "root").select(
         "label", "vec", (F.col("links") + F.col("copies") - 1).alias("links"), "component"
     )

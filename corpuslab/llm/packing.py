@@ -143,7 +143,7 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     t = np.arange(1, capacity // 2 + 1)
     large = number[capacity] - number[capacity - t]
     middle = mass[capacity - t] - mass[t - 1]
-    best = int((large - (-middle // capacity)).max())
+    best = int((large - (-middle // capacity)).max(initial=0))
     best = max(best, -(-int(mass[capacity]) // capacity))
     for k in range(1, 101):
         scaled = (k + 1) * size

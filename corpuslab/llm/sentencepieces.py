@@ -308,10 +308,13 @@ class PieceDecoder:
             elif not sp.is_control(i):
                 self.parts[i] = piece.replace(SPACE, " ").encode()
         self.prefix = sp.normalize("a").startswith(SPACE)
+        self.spaced = {i for i in range(size) if not sp.is_byte(i) and sp.id_to_piece(i).startswith(SPACE)}
+        self.silent = {i for i in range(size) if sp.is_control(i)}
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.parts.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        first = next((i for i in ids if i not in self.silent), None)
+        return text[1:] if self.prefix and first in self.spaced else text
 
 
 def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",

@@ -159,6 +159,7 @@ def near_links(prints: DataFrame) -> DataFrame:
     )
     ball = materialize(ball, "simhash-balls")
     centre = ball.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    centre = materialize(centre, "simhash-centres")
     stars = ball.join(centre, "point").where(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
     return pairs.union(stars)
 
@@ -173,7 +174,7 @@ def simhash_components(rows: DataFrame) -> DataFrame:
     groups = components(near_links(prints), "simhash").withColumnRenamed("node", "fp")
     rooted = prints.join(groups, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
     return rooted.join(smallest, "root").select("fp", "component_id")
 
 

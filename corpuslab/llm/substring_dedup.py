@@ -116,17 +116,17 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     A chunk is repeated when the same bytes occur before: in a smaller
     identifier (nulls first), or earlier in the same text.  Digests that occur
     once are dropped by a count of narrow rows first; only the rest is compared
-    by the whole 96 bits.  Counts and minima combine on the map side and the
-    joins may split a common chunk's rows, so a passage in a third of all texts
-    stays spread.
+    by the whole 96 bits.  Counts and minima combine on the map side and are
+    written, so that both sides of the joins are plain exchanges and Spark may
+    split a common chunk's rows: a passage in a third of all texts stays spread.
     """
     every = chunks(docs)
-    common = every.groupBy("digest").count().where("count > 1").select("digest")
+    common = materialize(every.groupBy("digest").count().where("count > 1").select("digest"), "chunks-common")
     again = materialize(every.join(common, "digest", "left_semi"), "chunks-again")
     half = F.col("place").bitwiseAND(0xFFFFFFFF).alias("half")
     place = F.struct("doc_id", "row_key", F.shiftright("place", 32).alias("number"))
     rows = again.select("digest", half, place.alias("at"))
-    first = rows.groupBy("digest", "half").agg(F.min("at").alias("first"))
+    first = materialize(rows.groupBy("digest", "half").agg(F.min("at").alias("first")), "chunks-first")
     repeats = rows.join(first, ["digest", "half"]).where(~F.col("at").eqNullSafe(F.col("first")))
     return repeats.groupBy("at.doc_id", "at.row_key").agg(F.array_sort(F.collect_set("at.number")).alias("numbers"))
 

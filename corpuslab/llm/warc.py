@@ -183,6 +183,7 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     key = ["digest", "sha256", "bytes"]
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "urn")
     originals = headers.where(F.col("bytes") >= min_bytes).groupBy(*key).agg(F.min(order)["urn"].alias("original"))
+    originals = materialize(originals, "warc-originals")
     return headers.join(originals, key, "left").select(
         "urn", F.when(F.col("original") != F.col("urn"), F.col("original")).alias("refers_to")
     )

@@ -10,7 +10,7 @@ from corpuslab.functions import vectors as vx
 from corpuslab.operators import neighbors as nb
 from corpuslab.operators.quality import check_features, check_vectors
 from corpuslab.plans.studies import label_consistency
-from corpuslab.session import scratch_path
+from corpuslab.session import materialize, scratch_path
 from corpuslab.sources.tables import read_embeddings, write_embeddings
 
 K = 5
@@ -49,8 +49,22 @@ def knn_copies(spark, d):
 
 
 def knn_lsh(spark, d):
-    pairs = nb.knn(_vectors(spark, d), "vec_id", "embedding", K, "lsh", tables=10, bits=3)
-    return pairs.select("id", "rank", "neighbor_id", F.round("similarity", 6).alias("similarity"))
+    """Lists of the approximate join: whole, without the row itself, with right similarities, and how many are near.
+
+    Recall is the share of the k exact neighbours that the lists hold.
+    """
+    e = _vectors(spark, d)
+    found = materialize(nb.knn(e, "vec_id", "embedding", K, "lsh", tables=10, bits=3), "lsh-pairs")
+    left = e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("a"))
+    right = e.select(F.col("vec_id").alias("neighbor_id"), F.col("embedding").cast("array<double>").alias("b"))
+    right_sim = F.abs(vx.cosine("a", "b") - F.col("similarity")) < 1e-9
+    lists = found.join(left, "id").join(right, "neighbor_id").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("id") == F.col("neighbor_id")).cast("long")).alias("n_self"),
+        F.min(right_sim).alias("similarity_right"), (F.sort_array(F.collect_list("rank")) == F.sequence(F.lit(1), F.lit(K))).alias("ranks_whole"),
+    )
+    exact = nb.knn(e, "vec_id", "embedding", K).select("id", "neighbor_id")
+    hits = found.join(exact, ["id", "neighbor_id"]).agg(F.count(F.lit(1))).scalar()
+    return lists.withColumn("recall_reached", hits >= 0.8 * K * e.count())
 
 
 def neighbor_results(spark, d):
@@ -72,7 +86,6 @@ def top_classes(spark, d):
 
 def similarity_histogram(spark, d):
     from corpuslab.operators.profile import histogram
-    from corpuslab.session import materialize
 
     sims = materialize(_pairs(spark, d).select(F.round("similarity", 6).alias("similarity")), "similarities")
     return _six(histogram(sims, "similarity", 40))
@@ -111,7 +124,7 @@ def feature_checks(spark, d):
     """Vector entries as long features: negative values are violations."""
     e = _vectors(spark, d)
     long = e.select(F.col("vec_id").alias("id"), F.posexplode("embedding").alias("term_idx", "weight"))
-    bad = check_features(long.filter("term_idx < 2"), e.select(F.col("vec_id").alias("id")))
+    bad = check_features(long, e.select(F.col("vec_id").alias("id")))
     return bad.groupBy("check").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("n_keys"))
 
 
@@ -153,6 +166,8 @@ ORACLE = {
       neighbor_label, article_label = neighbor_label AS same_label FROM p""",
     "knn_blocks": f"WITH {KNN} {_LIST}",
     "knn_copies": f"WITH {_HOT} {_LIST}",
+    "knn_lsh": """SELECT vec_id AS id, 5::BIGINT AS n, 0::BIGINT AS n_self, true AS similarity_right, true AS ranks_whole,
+      true AS recall_reached FROM embeddings""",
     "neighbor_results": f"""WITH {_RES} SELECT id, label, round(same_label_ratio, 6) AS same_label_ratio,
       round(mean_similarity, 6) AS mean_similarity, round(min_similarity, 6) AS min_similarity, round(max_similarity, 6) AS max_similarity,
       {', '.join(f'neighbor_{i}_id, round(neighbor_{i}_similarity, 6) AS neighbor_{i}_similarity' for i in (1, 2, 3))} FROM res""",
@@ -175,7 +190,7 @@ ORACLE = {
       SELECT vec_id, round(norm, 6) AS norm, round(dot, 6) AS dot, CASE WHEN norm > 0 THEN round(dot / (norm * norm), 6) END AS cosine,
       CASE WHEN norm > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS unit,
       (list_position(list_transform(v, lambda x: round(x, 5)), list_max(list_transform(v, lambda x: round(x, 5)))) - 1)::INT AS largest FROM n""",
-    "feature_checks": """WITH l AS (SELECT vec_id, unnest(embedding[1:2]) AS w FROM embeddings)
+    "feature_checks": """WITH l AS (SELECT vec_id, unnest(embedding) AS w FROM embeddings)
       SELECT 'feature value' AS "check", count(*) AS n, count(DISTINCT vec_id) AS n_keys FROM l WHERE w < 0""",
     "embedding_roundtrip": """SELECT vec_id, label, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm
       FROM embeddings""",

@@ -72,19 +72,19 @@ def topic_tokens(spark, d):
 
 def vocabulary(spark, d):
     tokens = ft.tokenize(_docs(spark, d), "text")
-    return ft.fit_vocabulary(tokens, max_features=500, min_df=5, max_df=0.95)
+    return ft.fit_vocabulary(tokens, min_df=5, max_df=0.95)
 
 
 def tfidf_long(spark, d):
     tokens = ft.tokenize(_docs(spark, d), "text")
-    model = materialize(ft.tfidf_fit(tokens, max_features=500), "vocabulary")
+    model = materialize(ft.tfidf_fit(tokens), "vocabulary")
     weights = ft.tfidf_transform(tokens, "doc_id", model)
     return weights.select("doc_id", "term_idx", F.round("weight", 6).alias("weight"))
 
 
 def nb_predictions(spark, d):
     docs = split_documents(spark, d).select("doc_id", "text", "lang", "split")
-    return nb_study(docs, "doc_id", "text", "lang", max_features=500)
+    return nb_study(docs, "doc_id", "text", "lang")
 
 
 def label_encoding(spark, d):
@@ -95,7 +95,7 @@ def label_encoding(spark, d):
 
 
 def digest(spark, d):
-    return content_digest(table(spark, d, "documents"), "doc_id", "text", depth=2)
+    return content_digest(table(spark, d, "documents"), "doc_id", "text")
 
 
 def csv_roundtrip(spark, d):
@@ -103,7 +103,7 @@ def csv_roundtrip(spark, d):
     docs = table(spark, d, "documents")
     path = scratch_path(spark, "docs") + ".csv"
     write_table(docs, path)
-    back = read_table(spark, path, docs.schema)
+    back = read_table(spark, path, docs.schema, multi_line=True)
     return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
@@ -155,21 +155,22 @@ ORACLE = {
       g AS (SELECT doc_id, unnest(t) AS term FROM l UNION ALL
         SELECT doc_id, t[i] || ' ' || t[i + 1] FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM l))
       SELECT term, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM g GROUP BY term""",
-    "topic_tokens": rf"""WITH l AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-zA-Z][a-zA-Z''-]{{2,}}'),
+    "topic_tokens": rf"""WITH l AS (SELECT doc_id, list_filter(regexp_extract_all(
+        regexp_replace(lower(text), '[^\P{{L}}\x00-\x7F]|[^\P{{N}}\x00-\x7F]', '0', 'g'), '\b[a-zA-Z][a-zA-Z''-]{{2,}}\b'),
         lambda x: x NOT IN ({_SCRIPT['stop']})) AS t FROM documents)
       SELECT doc_id, len(t)::INT AS n, md5(array_to_string(t, ' ')) AS tokens_md5 FROM l""",
     "vocabulary": f"""WITH {_TF}, v AS (SELECT term, sum(n)::BIGINT AS tf, count(*) AS df FROM occ GROUP BY term),
       n AS (SELECT count(*) AS n_docs FROM documents),
-      k AS (SELECT term, tf, df, n_docs FROM v, n WHERE df >= 5 AND df <= 0.95::DOUBLE * n_docs ORDER BY tf DESC, term LIMIT 500)
+      k AS (SELECT term, tf, df, n_docs FROM v, n WHERE df >= 5 AND df <= 0.95::DOUBLE * n_docs ORDER BY tf DESC, term LIMIT 20000)
       SELECT term, (row_number() OVER (ORDER BY term) - 1)::INT AS term_idx, tf, df, n_docs FROM k""",
-    "tfidf_long": f"""WITH {_TF}, v AS (SELECT term, sum(n) AS tf, count(*) AS df FROM occ GROUP BY term ORDER BY tf DESC, term LIMIT 500),
+    "tfidf_long": f"""WITH {_TF}, v AS (SELECT term, sum(n) AS tf, count(*) AS df FROM occ GROUP BY term ORDER BY tf DESC, term LIMIT 20000),
       m AS (SELECT term, (row_number() OVER (ORDER BY term) - 1)::INT AS term_idx,
         ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + df)) + 1 AS idf FROM v),
       w AS (SELECT doc_id, term_idx, (1 + ln(n)) * idf AS w FROM occ JOIN m USING (term))
       SELECT doc_id, term_idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
     "nb_predictions": f"""WITH {SPLIT}, {_TF},
       v AS (SELECT term, sum(n) AS tf, count(*) AS df FROM occ JOIN split USING (doc_id) WHERE split = 'train'
-        GROUP BY term ORDER BY tf DESC, term LIMIT 500),
+        GROUP BY term ORDER BY tf DESC, term LIMIT 20000),
       m AS (SELECT term, ln((1 + (SELECT count(*) FROM split WHERE split = 'train'))::DOUBLE / (1 + df)) + 1 AS idf FROM v),
       w0 AS (SELECT doc_id, term, (1 + ln(n)) * idf AS w FROM occ JOIN m USING (term)),
       w AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w0),

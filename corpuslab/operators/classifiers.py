@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from corpuslab.functions.columns import throughput
 from corpuslab.functions.labels import decode, encode
 from corpuslab.operators.evaluate import confusion_matrix, metric_rows
-from corpuslab.operators.sets import union_all
 from corpuslab.session import collect_bounded
 
 # Settings of each kind, any of which a caller may replace.
@@ -135,16 +134,20 @@ def prepare(
 ) -> Prepared:
     """Join features with labels once, for all models of a condition.
 
-    The rows are cached with spill to disk; call ``data.unpersist()`` after the
-    last fit.  Class sizes come from one small aggregate.
+    Classes and weights come from the joined rows alone: labels of rows without
+    features, such as test rows, define no class.  Rows without a label are left
+    out.  The joined rows are cached with spill to disk; call
+    ``data.unpersist()`` after the last fit.
     """
-    known = labels.select(id, F.col(label).alias("_label"))
-    counts = known.groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
+    known = labels.select(id, F.col(label).alias("_label")).filter(F.col("_label").isNotNull())
+    joined = features.select(id, "features").join(known, id).persist()
+    counts = joined.groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
     sizes = dict(collect_bounded(counts, MAX_CLASSES, "label counts"))
-    classes = sorted(c for c in sizes if c is not None)
+    classes = sorted(sizes)
     if len(classes) < 2:
+        joined.unpersist()
         raise ValueError("a target needs at least two classes")
-    rows = features.join(known, id).withColumn(LABEL, encode("_label", classes).cast("double"))
+    rows = joined.withColumn(LABEL, encode("_label", classes).cast("double"))
     columns = ["features", LABEL]
     if balanced:
         total = sum(sizes[c] for c in classes)
@@ -153,7 +156,9 @@ def prepare(
         rows = rows.withColumn(WEIGHT, F.element_at(F.create_map(*pairs), F.col("_label")))
         columns.append(WEIGHT)
     data = rows.select(*columns).persist()
-    return Prepared(data, classes, data.count(), _dimension(data))
+    prepared = Prepared(data, classes, data.count(), _dimension(data))
+    joined.unpersist()
+    return prepared
 
 
 def fit_one(prepared: Prepared, kind: str, *, target: str, label_source: str, balanced: bool = False,
@@ -234,7 +239,19 @@ EXPERIMENT = ("target", "label_source", "model")
 
 def predict_all(trained: Sequence[Trained], features: DataFrame, truth: DataFrame, id: str = "id") -> DataFrame:
     """Predictions of all models with the true label ``(id, target, label)``."""
-    predictions = union_all([predict(t, features, id) for t in trained])
+    out, columns = features.select(id, "features"), []
+    for n, t in enumerate(trained):  # one scan: every model adds a column
+        model = t.model.copy()
+        model.setPredictionCol(f"_p{n}")
+        kept = out.columns
+        out = model.transform(out).select(*kept, f"_p{n}")
+        columns.append(
+            F.struct(
+                F.lit(t.target).alias("target"), F.lit(t.label_source).alias("label_source"), F.lit(t.kind).alias("model"),
+                decode(f"_p{n}", t.classes).alias("predicted"),
+            )
+        )
+    predictions = out.select(id, F.inline(F.array(*columns)))
     return predictions.join(truth.select(id, "target", F.col("label").alias("actual")), [id, "target"])
 
 

@@ -25,6 +25,9 @@ TARGET_ALIASES = {
 SOURCE_ALIASES = {
     "real": "real",
     "original": "real",
+    "cnn": "real",
+    "cnn_label": "real",
+    "cnn_labels": "real",
     "original_label": "real",
     "original_labels": "real",
     "human": "real",
@@ -39,6 +42,23 @@ SOURCE_ALIASES = {
     "ai": "llm",
     "ai_labels": "llm",
 }
+MODEL_ALIASES = {
+    "logistic_regression": "logistic",
+    "logisticregression": "logistic",
+    "lr": "logistic",
+    "linear_svm": "svm",
+    "linear_svc": "svm",
+    "linearsvc": "svm",
+    "svc": "svm",
+    "naive_bayes": "nb",
+    "multinomial_nb": "nb",
+    "multinomialnb": "nb",
+    "randomforest": "random_forest",
+    "rf": "random_forest",
+    "xgb": "xgboost",
+    "small_neural_network": "neural_network",
+    "mlp": "neural_network",
+}
 
 
 def prepare_results(
@@ -47,7 +67,7 @@ def prepare_results(
     metrics: Sequence[str] = METRICS,
     targets: Mapping[str, str] = TARGET_ALIASES,
     sources: Mapping[str, str] = SOURCE_ALIASES,
-    models: Mapping[str, str] | None = None,
+    models: Mapping[str, str] = MODEL_ALIASES,
     displays: Mapping[str, Mapping[str, str]] | None = None,
     strict: bool = True,
 ) -> DataFrame:
@@ -56,7 +76,7 @@ def prepare_results(
         {
             "target": map_alias("target", targets),
             "label_source": map_alias("label_source", sources),
-            "model": map_alias("model", models or {}),
+            "model": map_alias("model", models),
             **{m: to_numeric(m, strict) for m in metrics},
         }
     )

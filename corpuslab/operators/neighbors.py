@@ -250,7 +250,10 @@ def _exact_hits(
     )
     pairs = _block_pairs(collect_bounded(summary, MAX_BLOCKS, "blocks"), pivots, k, spark)
     vectors = blocked.select("gid", "vec", "members", "block")
-    asked = vectors if queries is None else vectors.join(queries.select("gid"), "gid", "left_semi")
+    asked = vectors
+    if queries is not None:  # only blocks that hold asked rows look for candidates
+        asked = materialize(vectors.join(queries.select("gid"), "gid", "left_semi"), "knn-asked")
+        pairs = pairs.join(asked.select(F.col("block").alias("qb")).distinct(), "qb", "left_semi")
     left = asked.withColumnRenamed("block", "qb").join(pairs, "qb").withColumn("role", F.lit(0))
     right = vectors.withColumnRenamed("block", "cb").join(pairs, "cb").withColumn("role", F.lit(1))
     return _multiply(left.unionByName(right), ["qb", "cb"], groups, k)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions.labels import Taxonomy, normalize_label, pair_error
 from corpuslab.functions.text import strip
 from corpuslab.functions.vectors import is_finite, norm
-from corpuslab.operators.sets import frame_diff, partition_check, union_all
+from corpuslab.operators.sets import frame_diff, partition_check, row_key, union_all
 
 VIOLATION_SCHEMA = "check string, key string, detail string"
 
@@ -68,8 +68,8 @@ def check_unique_id(df: DataFrame, id: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of duplicated keys and of all rows that carry one."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Number of duplicated keys and of all rows that carry one.  Hashes travel, not the keys' texts."""
+    groups = df.groupBy(row_key(keys).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return groups.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 

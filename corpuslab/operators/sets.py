@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.operators.skew import join_hot_keys
@@ -34,21 +34,30 @@ def partition_check(whole: DataFrame, parts: Sequence[DataFrame], id: str) -> Da
     return seen.select("id", F.explode(problem).alias("problem"))
 
 
+def row_key(cols: Sequence[str]) -> Column:
+    """Two independent 64-bit hashes: a short key for whole rows or long texts; null equals null."""
+    return F.struct(*[F.xxhash64(F.lit(seed), *cols).alias(f"k{seed}") for seed in (1, 2)])
+
+
 def frame_diff(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows whose number of copies differs, with both numbers.
 
-    Bag comparison in one shuffle; null equals null.
+    Bag comparison; null equals null.  Rows are counted by a digest, and only
+    rows with a digest whose counts differ are shuffled and counted as they are.
     """
     cols = list(cols or a.columns)
     lacking = sorted(set(cols) - set(b.columns))
     if lacking:
         raise ValueError(f"second table lacks columns: {', '.join(lacking)}")
-    left = a.select(*cols, F.lit(1).alias("n_left"), F.lit(0).alias("n_right"))
-    right = b.select(*cols, F.lit(0).alias("n_left"), F.lit(1).alias("n_right"))
-    counts = left.unionByName(right).groupBy(*cols).agg(
-        F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")
-    )
-    return counts.filter(F.col("n_left") != F.col("n_right"))
+    sums = [F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")]
+    differ = F.col("n_left") != F.col("n_right")
+
+    def marked(t: DataFrame, *n: int) -> DataFrame:
+        return t.select(row_key(cols).alias("_key"), *cols, F.lit(n[0]).alias("n_left"), F.lit(n[1]).alias("n_right"))
+
+    both = marked(a, 1, 0).unionByName(marked(b, 0, 1))
+    keys = both.groupBy("_key").agg(*sums).filter(differ).select("_key")
+    return both.join(keys, "_key", "left_semi").groupBy(*cols).agg(*sums).filter(differ)
 
 
 def frames_equal(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> bool:
@@ -81,8 +90,11 @@ def unseen_classes(truth: DataFrame, training: DataFrame) -> DataFrame:
 
 
 def upsert(base: DataFrame, updates: DataFrame, id: str) -> DataFrame:
-    """One row per id: an updated row replaces the old one."""
-    return base.join(updates.select(id), id, "left_anti").select(base.columns).unionByName(updates)
+    """One row per id: an updated row replaces the old one.
+
+    Of several updates of an id one stays, so the result has it once.
+    """
+    return base.join(updates.select(id), id, "left_anti").select(base.columns).unionByName(updates.dropDuplicates([id]))
 
 
 def latest(log: DataFrame, id: str, order: Sequence[str]) -> DataFrame:

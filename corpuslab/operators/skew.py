@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 
 def join_hot_keys(
-    left: DataFrame, right: DataFrame, on: Sequence[str], size: str, hot_rows: int = 1_000_000, how: str = "inner"
+    left: DataFrame, right: DataFrame, on: Sequence[str], size: str, share: float = 0.001, how: str = "inner"
 ) -> DataFrame:
     """Inner or left join of rows with one-row-per-key data.
 
     ``size`` is a column of ``right`` with the number of left rows per key.
-    Keys above ``hot_rows`` number at most ``rows / hot_rows``, so that part of
-    ``right`` has a proven bound and is broadcast; all other keys are shuffled,
-    and none of their groups exceeds ``hot_rows``.
+    At most ``1 / share`` keys can hold more than ``share`` of all rows, so that
+    part of ``right`` has a proven bound and is broadcast; all other keys are
+    shuffled.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
     on = list(on)
-    hot = right.filter(F.col(size) > hot_rows)
-    cold = right.filter(F.col(size) <= hot_rows)
+    limit = right.agg(F.coalesce(F.sum(size), F.lit(0)) * share).scalar()
+    hot = right.filter(F.col(size) > limit)
+    cold = right.filter(F.col(size) <= limit)
     fast = left.join(F.broadcast(hot), on, "inner")
     rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti")
     return fast.unionByName(rest.join(cold, on, how))

@@ -43,16 +43,19 @@ def read_table(
     schema: T.StructType | None = None,
     fmt: str | None = None,
     null_value: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read a table; CSV has a header and may hold quoted line breaks.
+    """Read a table; CSV has a header.
 
-    Give a schema for CSV at scale: without one Spark reads the file twice.
+    With ``multi_line`` CSV values may hold quoted line breaks; a file is then
+    one task, whatever its size.  Give a schema for CSV at scale: without one
+    Spark reads the file twice.
     ``null_value`` names the text that stands for a missing value.
     """
     fmt = _format(path, fmt)
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
         if null_value is not None:
             reader = reader.option("nullValue", null_value)
         reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
@@ -67,9 +70,10 @@ def load_required(
     required: Sequence[str],
     schema: T.StructType | None = None,
     fmt: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A table that exists, has the required columns and at least one row."""
-    df = read_table(spark, path, schema, fmt)
+    df = read_table(spark, path, schema, fmt, multi_line=multi_line)
     missing = sorted(set(required) - set(df.columns))
     if missing:
         raise ValueError(f"{path} lacks columns: {', '.join(missing)}")
@@ -108,7 +112,7 @@ def write_table(
 def write_verified(df: DataFrame, path: str, fmt: str | None = None) -> DataFrame:
     """Write, read back, and compare the values of every column."""
     write_table(df, path, fmt)
-    back = read_table(df.sparkSession, path, df.schema, fmt)
+    back = read_table(df.sparkSession, path, df.schema, fmt, multi_line=True)
     if not frames_equal(df, back):
         raise ValueError(f"{path} does not hold what was written")
     return back

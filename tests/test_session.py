@@ -37,5 +37,5 @@ def test_hot_keys_join_like_any_other(spark, how):
     left = spark.range(300).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50))
     sizes = left.groupBy("k").agg(F.count("*").alias("n")).filter("k < 40").withColumn("v", F.col("k") * 10)
     want = left.join(sizes, "k", how).select("id", "k", "v")
-    got = join_hot_keys(left, sizes, ["k"], "n", hot_rows=50, how=how).select("id", "k", "v")
+    got = join_hot_keys(left, sizes, ["k"], "n", share=0.2, how=how).select("id", "k", "v")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,14 @@ GENERATOR = 0b110001110101  # of the binary Golay code (23, 12, 7)
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 FULL_BUCKET = 64  # larger buckets are linked through balls of radius one, not by pairs
 
+# Near copies by similarity: texts that share this much of their shingles of so many words.
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+WIDE_WORDS = 16  # 64-bit words of a wide fingerprint, which are cut into Golay words of 23 bits
+TABLES = 128  # pairs of Golay words that are keys
+WORD_BITS = 20  # bits of 64 that differ at most between candidates; at a similarity of 0.8 about 8 do
+PAIRED_BUCKET = 16  # members of larger buckets are compared with the bucket's first, not with each other
+
 
 def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
     """Unsigned 64-bit majority of the hashes of all word shingles; no word gives zero."""
@@ -208,8 +218,167 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prints = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-firsts")
     groups = components(near_links(prints), "simhash").withColumnRenamed("node", "fp")
     rooted = prints.join(groups, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
+    return _survivors(docs, rooted, id_col, text_col)
+
+
+def _survivors(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row of ``docs`` that comes first of each ``root``."""
     stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("stay_key"))
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("stay_key"))
     found = marked.join(stays.distinct(), "stay_key", "left_semi")
     first = Window.partitionBy("stay_key").orderBy("stay_key")
     return found.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").select("row.*")
+
+
+def shingle_set(words: list[bytes], size: int, seed: int = SEED) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; fewer words than ``size`` make one shingle, none makes none."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    count = max(1, len(words) - size + 1)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(b" ".join(words[k : k + size]), seed) for k in range(count)), np.uint64, count))
+
+
+_MIX = np.random.default_rng(20240301).integers(1, 1 << 63, WIDE_WORDS, dtype=np.uint64)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``WIDE_WORDS`` unsigned words: the majority of each bit over the hashes, mixed anew for each word."""
+    ones = np.zeros(64 * WIDE_WORDS, np.int64)
+    for at in range(0, len(hashes), 255):  # counts of 255 rows fit a byte
+        z = hashes[at : at + 255, None] ^ _MIX
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        ones += np.unpackbits(z.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes)).view(np.uint64)
+
+
+def wide_keys(prints: np.ndarray, tables: GolayTables) -> np.ndarray:
+    """``TABLES`` bucket keys for each row of wide fingerprints.
+
+    A key holds the nearest codewords of two Golay words; the pairs of words
+    are a fixed draw.  Similar texts differ in few bits everywhere, so some of
+    the pairs decode alike.
+    """
+    bits = np.unpackbits(prints.view(np.uint8), axis=1)
+    number = bits.shape[1] // 23
+    words = bits[:, : number * 23].reshape(len(bits), number, 23).astype(np.int64) @ (1 << np.arange(23))
+    codes = golay_keys(words.reshape(-1), tables)[:, 0].reshape(len(bits), number)
+    pairs = np.array(random.Random(SEED).sample(list(itertools.combinations(range(number), 2)), TABLES))
+    return np.arange(TABLES) << 24 | codes[:, pairs[:, 0]] << 12 | codes[:, pairs[:, 1]]
+
+
+def _wide_prints(keys: DataFrame) -> DataFrame:
+    """doc_id, row_key, node (hash of the words) and the wide fingerprint ``fp`` of each row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            nodes, prints = [], []
+            for text in batch.column("text").to_pylist():
+                words = (text or "").encode("utf-8", "replace").lower().split()
+                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words), SEED))
+                prints.append(wide_fingerprint(shingle_set(words, SHINGLE)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                 pa.array(prints, pa.binary())],
+                names=["doc_id", "row_key", "node", "fp"],
+            )
+
+    kind = keys.schema["doc_id"].dataType.simpleString()
+    return keys.mapInArrow(run, f"doc_id {kind}, row_key long, node long, fp binary")
+
+
+def _wide_buckets(prints: DataFrame) -> DataFrame:
+    """key, node and the first 64 bits of the fingerprint, ``TABLES`` rows for each of ``prints`` (node, fp)."""
+    tables = golay_tables()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(wide_keys(fp, tables).reshape(-1)), pa.array(np.repeat(part.column("node").to_numpy(), TABLES)),
+                     pa.array(np.repeat(fp[:, 0].view(np.int64), TABLES))],
+                    names=["key", "node", "word"],
+                )
+
+    return prints.select("node", "fp").mapInArrow(run, "key long, node long, word long")
+
+
+def similar_candidates(prints: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct nodes that share a bucket and are near in one word of their fingerprints.
+
+    Buckets up to ``PAIRED_BUCKET`` nodes give all pairs; members of larger ones
+    are compared with the smallest node only, so a large group of near copies
+    gives a few rows for each member.
+    """
+    # Each fingerprint becomes TABLES rows, so small tasks bound the memory.
+    tasks = 4 * max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.rdd.getNumPartitions())
+    buckets = _wide_buckets(prints.select("node", "fp").repartition(tasks, "node"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
+    shared = materialize(shared, "similar-shared")
+    members = materialize(buckets.join(shared.select("key", "n"), "key"), "similar-members")
+    near = F.bit_count(F.col("x.word").bitwiseXOR(F.col("y.word"))) <= WORD_BITS
+    other = F.col("x.node") < F.col("y.node")
+    small = members.where(F.col("n") <= PAIRED_BUCKET)
+    pairs = small.alias("x").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & other & near)
+    large = members.where(F.col("n") > PAIRED_BUCKET)
+    heads = large.join(shared.select("key", "first"), "key").where("node = first").select("key", "node", "word")
+    stars = materialize(heads, "similar-heads").alias("x").join(large.alias("y"), (F.col("x.key") == F.col("y.key")) & other & near)
+    ends = (F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return pairs.select(*ends).union(stars.select(*ends)).distinct()
+
+
+def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The ``pairs`` whose texts share ``similarity`` of their shingles, compared whole."""
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "similar-nodes")
+    wanted = firsts.join(ends, "node", "left_semi").select("node", F.col("first.row_key").alias("row_key"))
+    texts = keys.select("row_key", "text").join(materialize(wanted, "similar-wanted"), "row_key")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = [
+                shingle_set((t or "").encode("utf-8", "replace").lower().split(), size).tobytes()
+                for t in batch.column("text").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    sets = materialize(texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary"), "similar-sets")
+    sets = sets.dropDuplicates(["node"])  # rows equal in identifier and text
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                alike.append(both >= similarity * (len(one) + len(two) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
+
+
+def keep_one_per_similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
+) -> DataFrame:
+    """One row of ``docs`` per group of similar texts, chosen as in ``keep_one_per_group``.
+
+    Two texts are linked when their sets of shingles of ``size`` words have a
+    Jaccard similarity of ``similarity`` or more.  Candidates come from Golay
+    buckets of wide SimHash fingerprints, which can miss a pair (the README has
+    the measured recall); each is verified, so none is linked that is less
+    similar.  Texts of the same words are one node.
+    """
+    keys = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key")
+    )
+    rows = materialize(_wide_prints(keys), "similar-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    firsts = materialize(rows.groupBy("node").agg(F.min(order).alias("first"), F.first("fp").alias("fp")), "similar-firsts")
+    pairs = materialize(similar_candidates(firsts), "similar-pairs")
+    groups = components(_similar_links(keys, pairs, firsts.select("node", "first"), size, similarity), "similar")
+    rooted = firsts.select("node", "first").join(groups, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
+    return _survivors(docs, rooted, id_col, text_col)

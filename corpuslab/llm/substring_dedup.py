@@ -26,16 +26,29 @@ _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _candidates(data: np.ndarray) -> np.ndarray:
-    """Positions after which a chunk may end: 3 of 16 white-space bytes, one of 512 others that end a character."""
+    """Positions after which a chunk may end.
+
+    3 of 16 white-space bytes are.  Where the window holds no white space, as in
+    Chinese, Japanese or Thai, one of 32 bytes is, at the end of a character:
+    that gives chunks of about the same size.  Near white space one of 512
+    other character ends is.
+    """
     gear = _GEAR[data]
+    white = _WHITE[data]
+    near = white.copy()
     for width in (1, 2, 4, 8):
         shifted = gear[:-width] << np.uint32(width)
         gear[width:] += shifted
-    white = _WHITE[data]
+        near[width:] |= near[:-width].copy()
     cut = white & ((gear >> np.uint32(12) & np.uint32(15)) < 3)
-    rare = (gear >> np.uint32(7) & np.uint32(511)) == 0
-    rare[:-1] &= data[1:] & 0xC0 != 0x80
-    return np.flatnonzero(cut | rare) + 1
+    inner = data & 0xC0 == 0x80
+    size = np.ones(len(data), np.uint8)  # bytes of the character that ends here, if one does
+    size[1:] += inner[1:]
+    size[2:] += inner[2:] & inner[1:-1]
+    size[3:] += inner[3:] & inner[2:-1] & inner[1:-2]
+    ends = (gear >> np.uint32(7) & np.uint32(511)) < np.where(near, 1, 16 * size)
+    ends[:-1] &= ~inner[1:]
+    return np.flatnonzero(cut | ends) + 1
 
 
 def chunk_ends(texts: list[bytes]) -> list[list[int]]:

@@ -26,8 +26,7 @@ SHAPE_SCALE = 8.0
 CACHE_TOKENS = 300_000
 MAX_ROWS = 12_000  # rated rows that a model is fitted on
 MAX_GRADES = 100
-MIN_SHARE = 0.003  # a word counts if it occurs in this share of the sample, and in MIN_TEXTS texts
-MIN_TEXTS = 3
+MIN_TEXTS = 3  # a word counts if it occurs in so many texts of the sample, however large that is
 PENALTY_SHARE = 1 / 600  # weight of the squared penalty, per sample row
 MIN_TAIL = 0.35  # the draw is even over the grades, so the good grade is rarer in it than among all texts
 
@@ -176,7 +175,8 @@ def fit_ordinal(
 
     Rows without a grade are ignored; null text is empty text.  With fewer than
     two grades the model has no thresholds, so nothing can be rejected.  Words
-    of a few sample texts get no weight: they would fit the sample only.  Texts
+    of fewer than ``MIN_TEXTS`` sample texts get no weight; the penalty holds
+    the weights of other rare words.  Texts
     become features in parallel; the steps then run in one task over the
     compact features, whose size the sample bounds.
     """
@@ -210,7 +210,7 @@ def fit_ordinal(
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["word", "n"])
 
     frequent = stored.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= max(MIN_TEXTS, MIN_SHARE * total)
+        F.col("n") >= MIN_TEXTS
     )
     words = np.array(sorted(r["word"] for r in collect_bounded(frequent, WORDS, "words")), np.int64)
     kept = np.concatenate([words, np.arange(WORDS, FEATURES)])

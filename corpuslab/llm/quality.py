@@ -313,7 +313,7 @@ def fit_ratings(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """
     graded = labels.select(F.col("doc_id").alias("rated_id"), rating().alias("grade")).where("grade IS NOT NULL")
     graded = materialize(graded.groupBy("rated_id").agg(F.min("grade").alias("grade")), "ratings")
-    drawn = materialize(draw(graded, "rated_id").coalesce(1), "drawn-ratings")
+    drawn = materialize(draw(graded, "rated_id").repartition(1), "drawn-ratings")
     texts = docs.select(F.col(id_col).alias("rated_id"), F.col(text_col).alias("text"))
     return fit_ordinal(texts.join(drawn, "rated_id"), "text", "grade", **options)
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslab.llm import (
-    embedding_dedup, exact_dedup, language_id, packing, quality, sentencepieces, simhash, substring_dedup, url_filter, warc,
+    collocations, embedding_dedup, exact_dedup, language_id, packing, quality, sentencepieces, simhash, spelling, substring_dedup,
+    toxicity, url_filter, warc,
 )
 
 ALLOW = ["org/"]
@@ -87,6 +88,22 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four fifths of the identifiers."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_labels(docs, labels.where(~toxicity.held_out()))
+    rows = docs.select("doc_id", "text", toxicity.held_out().alias("held_out"))
+    return toxicity.score_toxicity(rows, model, carry=["held_out"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +113,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_embedding_near_dedup, op3_exact_dedup, op4_language_id, op5_url_filter, op6_warc_revisits,
-        op7_substring_dedup, op8_best_fit_packing, op9_quality_classifier, op10_simhash_golay, pipeline,
+        op7_substring_dedup, op8_best_fit_packing, op9_quality_classifier, op10_simhash_golay, op11_phrase_collocations,
+        op12_spelling_variants, op13_toxicity, pipeline,
     )
 }
 
@@ -134,4 +152,45 @@ ORACLE = {
    || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + (v // 32 % 32)::INT] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + (v % 32)::INT]), '')
    AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
    CASE WHEN page_id <> first THEN first END AS refers_to FROM five""",
+    "op11_phrase_collocations": r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ s AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+ g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+   FROM s, range(1, 5) t(k) WHERE len(w) >= k),
+ f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL),
+ nl AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+ c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+ cut AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, 2000000 * c.a // (x.a + y.a) AS score
+   FROM c, range(1, 4) t(j) JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+   JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ') WHERE j < c.k),
+ best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ ins AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM c, range(2, 4) t(m), range(1, 4) u(i)
+   WHERE m < k AND i + m - 1 <= k),
+ gone AS (SELECT lang, phrase, max(a) AS longer FROM ins GROUP BY ALL),
+ kept AS (SELECT best.* FROM best LEFT JOIN gone USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+ o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+ FROM o JOIN nl USING (lang) WHERE rank <= 2000""",
+    "op12_spelling_variants": r"""WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+ r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+ d AS (SELECT doc_id, run, count(*) AS c, hex(encode(doc_id::VARCHAR || ':' || run)) AS x FROM r GROUP BY ALL),
+ h AS (SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2),
+   lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda a, b: xor(tab.t[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM d, tab),
+ v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+   FROM h),
+ w AS (SELECT word, sum(c)::BIGINT AS n FROM v WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+ del AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM w, range(1, 1000) t(i) WHERE i <= length(word)),
+ near AS (SELECT a.word, b.word AS other, b.n FROM del a JOIN del b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+   UNION SELECT del.word, w.word, w.n FROM del JOIN w ON del.d = w.word
+   UNION SELECT w.word, del.word, del.n FROM del JOIN w ON del.d = w.word),
+ cnt AS (SELECT word, count(*) AS n_near FROM near GROUP BY word),
+ best AS (SELECT word, other, n AS form_n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+ f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN other END AS form,
+   CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN cnt USING (word) LEFT JOIN best USING (word)),
+ walk(word, root) AS (SELECT word, word FROM f UNION SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root
+   WHERE f.form IS NOT NULL)
+ SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk USING (word) JOIN f e ON e.word = walk.root
+ WHERE e.form IS NULL""",
 }

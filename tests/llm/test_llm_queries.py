@@ -19,7 +19,7 @@ def docs_of(spark):
 
 def test_one_query_of_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 def test_whole_tables_are_returned(spark):

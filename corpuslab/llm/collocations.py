@@ -15,6 +15,7 @@ more phrases are counted than needed, and none is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,8 @@ INSIDE_PERCENT = 80  # a phrase goes if a longer one around it has so many perce
 SCALE = 2_000_000
 SAMPLE_PERCENT = 25  # share of the rows that propose phrases
 FILTER_BITS = 27  # the table of proposals has 2 ** 27 bits, 16 MB, whatever the input
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+BATCH_ROWS = 50_000
 TOP_PARTS = 64  # each language is cut to its first rows in so many parts before the last sort
 
 _BREAK = b"\xff"  # occurs in no UTF-8 text
@@ -92,8 +94,13 @@ def _proposed(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
+def _packed(table: np.ndarray) -> bytes:
+    """The table as it is sent: mostly empty ones are small."""
+    return zlib.compress(table.tobytes(), 1)
+
+
+def _unpacked(sent: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(sent), np.uint8)
 
 
 def _coded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray, pa.Array | None]]:
@@ -143,10 +150,10 @@ def _key_counts(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, be
 
     Phrases that an earlier pass with the table ``before`` has counted are left out.
     """
-    sent = coded.sparkSession.sparkContext.broadcast((table, before))
+    sent = coded.sparkSession.sparkContext.broadcast((_packed(table), None if before is None else _packed(before)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, old = sent.value
+        now, old = (None if t is None else _unpacked(t) for t in sent.value)
         for lang, codes, hashes, _ in _coded_rows(batches):
             seed, shorter = xxhash.xxh3_64_intdigest(lang), None
             for level, (keys, valid) in enumerate(phrase_keys(codes, hashes, seed, max(levels)), 1):
@@ -159,8 +166,10 @@ def _key_counts(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, be
                 else:
                     wanted = valid
                 if level in levels:
-                    found, n = _grouped(keys[wanted])
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"])
+                    found, n = np.unique(keys[wanted], return_counts=True)
+                    for start in range(0, len(n), BATCH_ROWS):
+                        part = slice(start, start + BATCH_ROWS)
+                        yield pa.RecordBatch.from_arrays([pa.array(found[part].view(np.int64)), pa.array(n[part])], names=["key", "n"])
                 shorter = keys
 
     return coded.select("lang", "codes", "hashes").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -199,13 +208,14 @@ def _frequent_keys(coded: DataFrame, min_count: int, words: int, sample_percent:
 def phrase_counts(coded: DataFrame, min_count: int = MIN_COUNT, words: int = MAX_WORDS, sample_percent: int = SAMPLE_PERCENT,
                   bits: int = FILTER_BITS) -> DataFrame:
     """lang, phrase, k (words) and a (occurrences) of all phrases with ``min_count`` or more occurrences in a language."""
-    sent = coded.sparkSession.sparkContext.broadcast(_frequent_keys(coded, min_count, words, sample_percent, bits))
+    sent = coded.sparkSession.sparkContext.broadcast(_packed(_frequent_keys(coded, min_count, words, sample_percent, bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _unpacked(sent.value)
         for lang, codes, hashes, listed in _coded_rows(batches):
             for level, (keys, valid) in enumerate(phrase_keys(codes, hashes, xxhash.xxh3_64_intdigest(lang), words), 1):
                 at = np.flatnonzero(valid)
-                at = at[_proposed(sent.value, keys[at])]
+                at = at[_proposed(frequent, keys[at])]
                 if not len(at):
                     continue
                 _, first, group, n = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
@@ -214,8 +224,8 @@ def phrase_counts(coded: DataFrame, min_count: int = MIN_COUNT, words: int = MAX
                     _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
                 parts = [listed.take(pa.array(codes[at[first] + j] - 1)) for j in range(level)]
                 phrase = pc.binary_join_element_wise(*parts, b" ") if level > 1 else parts[0]
-                for start in range(0, len(n), 100_000):
-                    part = phrase.slice(start, 100_000)
+                for start in range(0, len(n), BATCH_ROWS):
+                    part = phrase.slice(start, BATCH_ROWS)
                     size = len(part)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * size, pa.string()), pc.cast(part, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True)), pa.array(np.full(size, level, np.int32)),

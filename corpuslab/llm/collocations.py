@@ -15,6 +15,7 @@ more phrases are counted than needed, and none is lost.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -34,9 +35,11 @@ TOP = 2000
 INSIDE_PERCENT = 80  # a phrase goes if a longer one around it has so many percent of its occurrences
 SCALE = 2_000_000
 SAMPLE_PERCENT = 25  # share of the rows that propose phrases
-FILTER_BITS = 27  # the table of proposals has 2 ** 27 bits, 16 MB, whatever the input
+FILTER_BITS = 26  # the table of proposals has 2 ** 26 bits, 8 MB, whatever the input
 SLICE_BYTES = 3 << 20
 BATCH_ROWS = 50_000
+HELD_KEYS = 400_000  # keys that a task holds before it sends them
+RANGE_WORDS = 500_000  # words whose keys go to one range
 TOP_PARTS = 64  # each language is cut to its first rows in so many parts before the last sort
 
 _BREAK = b"\xff"  # occurs in no UTF-8 text
@@ -110,8 +113,8 @@ def _coded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.nda
             words = batch.column("words")[row].as_py() if "words" in batch.schema.names else None
             yield (
                 batch.column("lang")[row].as_py(),
-                np.frombuffer(batch.column("codes")[row].as_py(), "<i4"),
-                np.frombuffer(batch.column("hashes")[row].as_py(), "<u8"),
+                np.frombuffer(batch.column("codes")[row].as_buffer(), "<i4"),
+                np.frombuffer(batch.column("hashes")[row].as_buffer(), "<u8"),
                 None if words is None else pc.split_pattern(pa.array([words]), b" ").flatten() if words else pa.array([], pa.binary()),
             )
 
@@ -145,34 +148,69 @@ def coded_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, samp
     return rows.mapInArrow(run, "lang string, sampled boolean, n long, words binary, hashes binary, codes binary")
 
 
-def _key_counts(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, before: np.ndarray | None) -> DataFrame:
-    """key and n of all words (level 1) and of phrases whose two shorter ends are in ``table``.
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
 
-    Phrases that an earlier pass with the table ``before`` has counted are left out.
+
+def _often(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, before: np.ndarray | None, least: int) -> DataFrame:
+    """``key`` of words (level 1), and of phrases whose two shorter ends are in ``table``, that occur ``least`` times or more.
+
+    Phrases that an earlier pass with the table ``before`` has counted are left
+    out.  A task sends its keys and counts packed, one row for each range of
+    keys; the number of ranges follows the words to be counted, and keys are
+    even hashes, so the rows of a range always fit a task.
     """
     sent = coded.sparkSession.sparkContext.broadcast((_packed(table), None if before is None else _packed(before)))
+    ranges = max(8, math.ceil((coded.agg(F.sum("n")).first()[0] or 0) / RANGE_WORDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, old = (None if t is None else _unpacked(t) for t in sent.value)
+        keys_found: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+
+        def made() -> pa.RecordBatch:
+            key, n = _added(keys_found, counts)
+            keys_found.clear()
+            counts.clear()
+            place = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            used, start = np.unique(place, return_index=True)
+            ends = np.append(start[1:], len(key))
+            parts = [(key[i:j].tobytes(), n[i:j].astype("<u4").tobytes()) for i, j in zip(start, ends)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(used), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())],
+                names=["range", "keys", "counts"],
+            )
+
         for lang, codes, hashes, _ in _coded_rows(batches):
             seed, shorter = xxhash.xxh3_64_intdigest(lang), None
             for level, (keys, valid) in enumerate(phrase_keys(codes, hashes, seed, max(levels)), 1):
+                wanted = valid
                 if level > 1:
                     known = _proposed(now, shorter)
                     wanted = valid & known[:-1] & known[1:]
                     if old is not None:
                         known = _proposed(old, shorter)
                         wanted &= ~(known[:-1] & known[1:])
-                else:
-                    wanted = valid
                 if level in levels:
-                    found, n = np.unique(keys[wanted], return_counts=True)
-                    for start in range(0, len(n), BATCH_ROWS):
-                        part = slice(start, start + BATCH_ROWS)
-                        yield pa.RecordBatch.from_arrays([pa.array(found[part].view(np.int64)), pa.array(n[part])], names=["key", "n"])
+                    for into, part in zip((keys_found, counts), np.unique(keys[wanted], return_counts=True)):
+                        into.append(part)
                 shorter = keys
+            if sum(map(len, keys_found)) > HELD_KEYS:
+                yield made()
+        if keys_found:
+            yield made()
+
+    def merge(chunks: pa.Table) -> pa.Table:
+        key, n = _added(*([np.frombuffer(x, kind) for x in chunks[c].to_pylist()] for c, kind in (("keys", "<u8"), ("counts", "<u4"))))
+        return pa.table({"key": pa.array(key[n >= least].view(np.int64))})
 
-    return coded.select("lang", "codes", "hashes").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    packed = coded.select("lang", "codes", "hashes").mapInArrow(run, "range long, keys binary, counts binary")
+    return packed.groupBy("range").applyInArrow(merge, "key long")
 
 
 def _bits(keys: DataFrame, bits: int) -> np.ndarray:
@@ -191,18 +229,15 @@ def _frequent_keys(coded: DataFrame, min_count: int, words: int, sample_percent:
     sample_count = max(1, int(expected - 1.5 * expected**0.5))
     sample, table = coded.where("sampled"), np.zeros(1 << (bits - 3), np.uint8)
     for level in range(1, words):
-        proposed = _key_counts(sample, (level,), table, None).where(F.col("n") >= sample_count)
-        table = table | _bits(proposed.select("key"), bits)
-    counted = _key_counts(coded, tuple(range(1, words + 1)), table, None)
-    frequent = materialize(counted.where(F.col("n") >= min_count).select("key"), "phrase-keys")
+        table = table | _bits(_often(sample, (level,), table, None, sample_count), bits)
+    frequent = materialize(_often(coded, tuple(range(1, words + 1)), table, None, min_count), "phrase-keys")
     everything, last = _bits(frequent, bits), F.expr("key & 3") == words - 1
     while True:
         grown = table | _bits(frequent.where(~last), bits)
         if np.array_equal(grown, table):
             return everything
-        more = _key_counts(coded, tuple(range(2, words + 1)), grown, table).where(F.col("n") >= min_count)
-        frequent, table = materialize(more.select("key"), "phrase-keys"), grown
-        everything = everything | _bits(frequent, bits)
+        frequent = materialize(_often(coded, tuple(range(2, words + 1)), grown, table, min_count), "phrase-keys")
+        table, everything = grown, everything | _bits(frequent, bits)
 
 
 def phrase_counts(coded: DataFrame, min_count: int = MIN_COUNT, words: int = MAX_WORDS, sample_percent: int = SAMPLE_PERCENT,

@@ -82,8 +82,8 @@ def test_top_and_ties(spark):
 def test_border_failures_are_expanded(spark, monkeypatch):
     """A sample that proposes nothing leaves all phrases to the expansion passes."""
     passes = []
-    count = co._key_counts
-    monkeypatch.setattr(co, "_key_counts", lambda *a: passes.append(a[1]) or count(*a))
+    count = co._often
+    monkeypatch.setattr(co, "_often", lambda *a: passes.append(a[1]) or count(*a))
     rows = [(k, "one two three four", "en") for k in range(40)]
     got = rows_of(co.collocations(frame(spark, rows), sample_percent=0))
     assert [(r[2], r[3]) for r in got] == [("one two three four", 40)]

@@ -1,8 +1,6 @@
 """Phrase collocations by Toivonen's method: a sample proposes phrases, full passes count them and their negative border.
 
-Texts are coded once, as word numbers of a slice of rows with the slice's
-dictionary, and written.  A sample of the rows proposes the phrases that may be
-frequent.  A full pass then counts every word and every longer phrase whose two
+A sample of the rows proposes the phrases that may be frequent.  A full pass then counts every word and every longer phrase whose two
 shorter ends were proposed: the proposals and their negative border.  If a
 border phrase is frequent, phrases around it were not counted yet, so further
 passes count just those, until no frequent phrase is left outside the proposals.
@@ -39,7 +37,7 @@ FILTER_BITS = 26  # the table of proposals has 2 ** 26 bits, 8 MB, whatever the
 SLICE_BYTES = 3 << 20
 BATCH_ROWS = 50_000
 HELD_KEYS = 400_000  # keys that a task holds before it sends them
-RANGE_WORDS = 500_000  # words whose keys go to one range
+RANGE_BYTES = 3 << 20  # bytes of text for each range of keys
 TOP_PARTS = 64  # each language is cut to its first rows in so many parts before the last sort
 
 _BREAK = b"\xff"  # occurs in no UTF-8 text
@@ -106,47 +104,27 @@ def _unpacked(sent: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(sent), np.uint8)
 
 
-def _coded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray, pa.Array | None]]:
-    """Language, word numbers, word hashes and (if read) the words of every coded row."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            words = batch.column("words")[row].as_py() if "words" in batch.schema.names else None
-            yield (
-                batch.column("lang")[row].as_py(),
-                np.frombuffer(batch.column("codes")[row].as_buffer(), "<i4"),
-                np.frombuffer(batch.column("hashes")[row].as_buffer(), "<u8"),
-                None if words is None else pc.split_pattern(pa.array([words]), b" ").flatten() if words else pa.array([], pa.binary()),
-            )
+def _coded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray, pa.Array]]:
+    """Language, word numbers, word hashes and words of the texts of each language in a slice of rows."""
+    for batch in slices(batches, "text", SLICE_BYTES):
+        groups: dict[str, list[bytes]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            groups.setdefault(lang, []).append(text)
+        for lang, texts in groups.items():
+            words, codes = code_words(texts)
+            yield lang, codes, np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words)), words
 
 
 # Passes ------------------------------------------------------------------------------------
 
-def coded_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_percent: int) -> DataFrame:
-    """Rows of coded text: lang, sampled, n (words), words, hashes, codes; each has one language and is sampled or not."""
+def phrase_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_percent: int) -> DataFrame:
+    """lang, text (bytes) and whether the row is in the sample."""
     drawn = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(11)), F.lit(100)) < sample_percent
-    rows = docs.select(
-        F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), drawn.alias("sampled"),
-        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
+    return docs.select(
+        F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"), drawn.alias("sampled"),
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
-            groups: dict[tuple[str, bool], list[bytes]] = {}
-            for lang, sampled, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "sampled", "text"))):
-                groups.setdefault((lang, sampled), []).append(text)
-            for (lang, sampled), texts in groups.items():
-                words, codes = code_words(texts)
-                listed = words.to_pylist()
-                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), "<u8", len(listed))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang], pa.string()), pa.array([sampled]), pa.array([int((codes > 0).sum())], pa.int64()),
-                     pa.array([b" ".join(listed)], pa.binary()), pa.array([hashes.tobytes()], pa.binary()),
-                     pa.array([codes.astype("<i4").tobytes()], pa.binary())],
-                    names=["lang", "sampled", "n", "words", "hashes", "codes"],
-                )
-
-    return rows.mapInArrow(run, "lang string, sampled boolean, n long, words binary, hashes binary, codes binary")
-
 
 def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of their counts."""
@@ -157,16 +135,15 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _often(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, before: np.ndarray | None, least: int) -> DataFrame:
+def _often(texts: DataFrame, levels: tuple[int, ...], table: np.ndarray, before: np.ndarray | None, least: int, ranges: int) -> DataFrame:
     """``key`` of words (level 1), and of phrases whose two shorter ends are in ``table``, that occur ``least`` times or more.
 
     Phrases that an earlier pass with the table ``before`` has counted are left
-    out.  A task sends its keys and counts packed, one row for each range of
-    keys; the number of ranges follows the words to be counted, and keys are
+    out.  A task sends its keys and counts packed, one row for each of the
+    ``ranges`` of keys, whose number follows the size of all texts: keys are
     even hashes, so the rows of a range always fit a task.
     """
-    sent = coded.sparkSession.sparkContext.broadcast((_packed(table), None if before is None else _packed(before)))
-    ranges = max(8, math.ceil((coded.agg(F.sum("n")).first()[0] or 0) / RANGE_WORDS))
+    sent = texts.sparkSession.sparkContext.broadcast((_packed(table), None if before is None else _packed(before)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, old = (None if t is None else _unpacked(t) for t in sent.value)
@@ -209,7 +186,7 @@ def _often(coded: DataFrame, levels: tuple[int, ...], table: np.ndarray, before:
         key, n = _added(*([np.frombuffer(x, kind) for x in chunks[c].to_pylist()] for c, kind in (("keys", "<u8"), ("counts", "<u4"))))
         return pa.table({"key": pa.array(key[n >= least].view(np.int64))})
 
-    packed = coded.select("lang", "codes", "hashes").mapInArrow(run, "range long, keys binary, counts binary")
+    packed = texts.select("lang", "text").mapInArrow(run, "range long, keys binary, counts binary")
     return packed.groupBy("range").applyInArrow(merge, "key long")
 
 
@@ -223,31 +200,39 @@ def _bits(keys: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def _frequent_keys(coded: DataFrame, min_count: int, words: int, sample_percent: int, bits: int) -> np.ndarray:
+def _frequent_keys(texts: DataFrame, min_count: int, words: int, sample_percent: int, bits: int) -> np.ndarray:
     """Bit table that holds the key of every phrase with ``min_count`` or more occurrences."""
+    ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE_BYTES))
     expected = min_count * sample_percent / 100
     sample_count = max(1, int(expected - 1.5 * expected**0.5))
-    sample, table = coded.where("sampled"), np.zeros(1 << (bits - 3), np.uint8)
+    sample, table = texts.where("sampled"), np.zeros(1 << (bits - 3), np.uint8)
     for level in range(1, words):
-        table = table | _bits(_often(sample, (level,), table, None, sample_count), bits)
-    frequent = materialize(_often(coded, tuple(range(1, words + 1)), table, None, min_count), "phrase-keys")
+        table = table | _bits(_often(sample, (level,), table, None, sample_count, ranges), bits)
+    frequent = materialize(_often(texts, tuple(range(1, words + 1)), table, None, min_count, ranges), "phrase-keys")
     everything, last = _bits(frequent, bits), F.expr("key & 3") == words - 1
     while True:
         grown = table | _bits(frequent.where(~last), bits)
         if np.array_equal(grown, table):
             return everything
-        frequent = materialize(_often(coded, tuple(range(2, words + 1)), grown, table, min_count), "phrase-keys")
+        frequent = materialize(_often(texts, tuple(range(2, words + 1)), grown, table, min_count, ranges), "phrase-keys")
         table, everything = grown, everything | _bits(frequent, bits)
 
 
-def phrase_counts(coded: DataFrame, min_count: int = MIN_COUNT, words: int = MAX_WORDS, sample_percent: int = SAMPLE_PERCENT,
+def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, words: int = MAX_WORDS, sample_percent: int = SAMPLE_PERCENT,
                   bits: int = FILTER_BITS) -> DataFrame:
-    """lang, phrase, k (words) and a (occurrences) of all phrases with ``min_count`` or more occurrences in a language."""
-    sent = coded.sparkSession.sparkContext.broadcast(_packed(_frequent_keys(coded, min_count, words, sample_percent, bits)))
+    """lang, phrase, k (words) and a (occurrences) of all phrases with ``min_count`` or more occurrences in a language.
+
+    The row of each language with k = 0 has the number of all its words.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(_packed(_frequent_keys(texts, min_count, words, sample_percent, bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = _unpacked(sent.value)
         for lang, codes, hashes, listed in _coded_rows(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()), pa.array([""]), pa.array([0], pa.int32()), pa.array([int((codes > 0).sum())], pa.int64())],
+                names=["lang", "phrase", "k", "n"],
+            )
             for level, (keys, valid) in enumerate(phrase_keys(codes, hashes, xxhash.xxh3_64_intdigest(lang), words), 1):
                 at = np.flatnonzero(valid)
                 at = at[_proposed(frequent, keys[at])]
@@ -268,8 +253,8 @@ def phrase_counts(coded: DataFrame, min_count: int = MIN_COUNT, words: int = MAX
                         names=["lang", "phrase", "k", "n"],
                     )
 
-    counts = coded.select("lang", "codes", "hashes", "words").mapInArrow(run, "lang string, phrase string, k int, n long")
-    return counts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
+    counts = texts.select("lang", "text").mapInArrow(run, "lang string, phrase string, k int, n long")
+    return counts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a")).where((F.col("a") >= min_count) | (F.col("k") == 0))
 
 
 # Scores ------------------------------------------------------------------------------------
@@ -326,9 +311,9 @@ def collocations(
     """
     if not 2 <= words <= MAX_WORDS:
         raise ValueError(f"phrases have 2 to {MAX_WORDS} words")
-    coded = materialize(coded_texts(docs, id_col, text_col, lang_col, sample_percent), "phrase-texts")
-    counts = materialize(phrase_counts(coded, min_count, words, sample_percent, bits), "phrases")
-    totals = coded.groupBy("lang").agg(F.sum("n").alias("n"))
+    texts = phrase_texts(docs, id_col, text_col, lang_col, sample_percent)
+    every = materialize(phrase_counts(texts, min_count, words, sample_percent, bits), "phrases")
+    counts, totals = every.where("k > 0"), every.where("k = 0").select("lang", F.col("a").alias("n"))
     scored = scored_phrases(counts).join(_swallowed(counts, percent), ["lang", "phrase"], "left_anti")
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
     part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS)).alias("part")

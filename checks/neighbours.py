@@ -64,7 +64,7 @@ def knn_lsh(spark, d):
     )
     exact = nb.knn(e, "vec_id", "embedding", K).select("id", "neighbor_id")
     hits = found.join(exact, ["id", "neighbor_id"]).agg(F.count(F.lit(1))).scalar()
-    return lists.withColumn("recall_reached", hits >= 0.8 * K * e.count())
+    return lists.withColumn("recall_reached", hits >= 0.9 * K * e.count())
 
 
 def neighbor_results(spark, d):

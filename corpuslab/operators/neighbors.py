@@ -7,6 +7,10 @@ candidates of each query; the best k over all blocks are kept.
 *Copies.*  Equal vectors are joined once, as one group that carries its k+1
 lowest ids.  A vector with millions of copies therefore costs as much as one.
 
+*Tiles.*  About sqrt(b) of the b blocks form a tile, and a task multiplies the
+useful block pairs of two tiles.  A vector is copied once for each tile it
+meets, not once for each block, so at most sqrt(b) times.
+
 *Pruning.*  Blocks follow the nearest of a few pivots.  With the triangle
 inequality the exact method skips every block pair that cannot hold a
 neighbour.  A crowded cell is cut into several blocks.
@@ -33,6 +37,7 @@ from corpuslab.session import collect_bounded, materialize
 DIGITS = 6  # similarities are compared after rounding; equal ones rank by id
 MAX_PIVOTS = 1024
 MAX_BLOCKS = 200_000
+MAX_TILE_ROWS = 262_144  # distinct vectors in a tile; beyond it tiles stay this large and their number grows
 
 
 # Kernels that run inside tasks -------------------------------------------------
@@ -209,20 +214,52 @@ def _useful_pairs(summary: pd.DataFrame, pivots: np.ndarray, k: int):
     return targets
 
 
-def _block_pairs(summary_rows: list, pivots: np.ndarray, k: int, spark) -> DataFrame:
-    summary = pd.DataFrame([r.asDict() for r in summary_rows])
-    shared = spark.sparkContext.broadcast((summary, pivots))  # at most MAX_BLOCKS rows
+def _tile_sizes(blocks: int, block_rows: int) -> int:
+    """Blocks in a tile: a little over the root of their number, so that tiles are fewer, as far as a task holds them."""
+    return max(1, min(math.isqrt(blocks - 1) + 2, MAX_TILE_ROWS // block_rows))
+
 
+def _tile_pairs(shared, blocks: int, k: int, spark) -> DataFrame:
+    """One row (query block, candidate block, tile of each) for every useful pair of blocks."""
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, centres = shared.value
         targets = _useful_pairs(table, centres, k)
-        blocks = table["block"].to_numpy()
+        names, tiles = table["block"].to_numpy(), table["tile"].to_numpy()
+        tile_of = pd.Series(tiles, index=names)
         for batch in batches:
             for position in batch["id"]:
                 found = targets(int(position))
-                yield pd.DataFrame({"qb": np.full(len(found), blocks[position]), "cb": found})
+                yield pd.DataFrame({
+                    "qb": np.full(len(found), names[position]), "cb": found, "qt": np.full(len(found), tiles[position]),
+                    "ct": tile_of[found].to_numpy(),
+                })
+
+    return spark.range(blocks).mapInPandas(expand, "qb long, cb long, qt long, ct long")
+
 
-    return spark.range(len(summary)).mapInPandas(expand, "qb long, cb long")
+def _best_in_tiles(shared, k: int, schema: pa.Schema):
+    """The block kernel for every query block of one tile and its useful candidates in another."""
+    best = _best_in_block(k, schema)
+
+    def run(rows: pa.Table) -> pa.Table:
+        table, centres = shared.value
+        targets = _useful_pairs(table, centres, k)
+        position = {b: i for i, b in enumerate(table["block"])}
+        queries, candidates = rows.filter(pc.field("role") == 0), rows.filter(pc.field("role") == 1)
+        found = [schema.empty_table()]
+        for block in queries["block"].unique().to_pylist():
+            useful = candidates.filter(pc.is_in(candidates["block"], pa.array(targets(position[block]), pa.int64())))
+            found.append(best(pa.concat_tables([queries.filter(pc.field("block") == block), useful])))
+        return pa.concat_tables(found)
+
+    return run
+
+
+def _tile_rows(asked: DataFrame, vectors: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Vectors with both tiles of every task that needs them: ``role`` 0 asks, ``role`` 1 is a candidate."""
+    left = asked.join(pairs.select(F.col("qb").alias("block"), "qt", "ct").distinct(), "block").withColumn("role", F.lit(0))
+    right = vectors.join(pairs.select(F.col("cb").alias("block"), "qt", "ct").distinct(), "block").withColumn("role", F.lit(1))
+    return left.unionByName(right)
 
 
 def _exact_hits(
@@ -248,15 +285,23 @@ def _exact_hits(
     summary = blocked.groupBy("block").agg(
         F.first("cell").alias("cell"), F.max("dist").alias("radius"), nearest.alias("near")
     )
-    pairs = _block_pairs(collect_bounded(summary, MAX_BLOCKS, "blocks"), pivots, k, spark)
+    found = pd.DataFrame([r.asDict() for r in collect_bounded(summary, MAX_BLOCKS, "blocks")])
+    # Cells in the order of their main direction, so that the blocks of a tile are near each other.
+    main = pivots @ np.linalg.svd(pivots - pivots.mean(axis=0), full_matrices=False)[2][0]
+    found = found.assign(place=main[found["cell"]]).sort_values(["place", "block"], ignore_index=True)
+    found["tile"] = np.arange(len(found)) // _tile_sizes(len(found), block_rows)
+    shared = spark.sparkContext.broadcast((found, pivots))  # at most MAX_BLOCKS rows
+    pairs = materialize(_tile_pairs(shared, len(found), k, spark), "knn-tiles")
     vectors = blocked.select("gid", "vec", "members", "block")
     asked = vectors
     if queries is not None:  # only blocks that hold asked rows look for candidates
         asked = materialize(vectors.join(queries.select("gid"), "gid", "left_semi"), "knn-asked")
         pairs = pairs.join(asked.select(F.col("block").alias("qb")).distinct(), "qb", "left_semi")
-    left = asked.withColumnRenamed("block", "qb").join(pairs, "qb").withColumn("role", F.lit(0))
-    right = vectors.withColumnRenamed("block", "cb").join(pairs, "cb").withColumn("role", F.lit(1))
-    return _multiply(left.unionByName(right), ["qb", "cb"], groups, k)
+    schema = _hit_schema(groups)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    hits = _tile_rows(asked, vectors, pairs).groupBy("qt", "ct").applyInArrow(_best_in_tiles(shared, k, to_arrow_schema(schema)), schema)
+    return _best_groups(hits, k)
 
 
 # Approximate join ---------------------------------------------------------------------

@@ -69,7 +69,7 @@ def check_unique_id(df: DataFrame, id: str) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of duplicated keys and of all rows that carry one.  Hashes travel, not the keys' texts."""
-    groups = df.groupBy(row_key(keys).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = df.groupBy(row_key(df, keys).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return groups.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslab.operators.skew import join_hot_keys
 
@@ -34,9 +35,18 @@ def partition_check(whole: DataFrame, parts: Sequence[DataFrame], id: str) -> Da
     return seen.select("id", F.explode(problem).alias("problem"))
 
 
-def row_key(cols: Sequence[str]) -> Column:
-    """Two independent 64-bit hashes: a short key for whole rows or long texts; null equals null."""
-    return F.struct(*[F.xxhash64(F.lit(seed), *cols).alias(f"k{seed}") for seed in (1, 2)])
+def row_key(df: DataFrame, cols: Sequence[str]) -> Column:
+    """128-bit key of a row of ``df`` on ``cols``, in two hashes; null equals null only in the same column.
+
+    The hash function skips nulls, so every column adds a mark whether it is
+    null, and nested values are hashed as JSON text that shows their nulls.
+    """
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = [
+        F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if isinstance(df.schema[c].dataType, nested) else F.col(c) for c in cols
+    ]
+    marks = [F.col(c).isNull() for c in cols]
+    return F.struct(*[F.xxhash64(F.lit(seed), *values, *marks).alias(f"k{seed}") for seed in (1, 2)])
 
 
 def frame_diff(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -53,7 +63,7 @@ def frame_diff(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) ->
     differ = F.col("n_left") != F.col("n_right")
 
     def marked(t: DataFrame, *n: int) -> DataFrame:
-        return t.select(row_key(cols).alias("_key"), *cols, F.lit(n[0]).alias("n_left"), F.lit(n[1]).alias("n_right"))
+        return t.select(row_key(t, cols).alias("_key"), *cols, F.lit(n[0]).alias("n_left"), F.lit(n[1]).alias("n_right"))
 
     both = marked(a, 1, 0).unionByName(marked(b, 0, 1))
     keys = both.groupBy("_key").agg(*sums).filter(differ).select("_key")
@@ -89,12 +99,16 @@ def unseen_classes(truth: DataFrame, training: DataFrame) -> DataFrame:
     return label(truth).subtract(label(training))
 
 
-def upsert(base: DataFrame, updates: DataFrame, id: str) -> DataFrame:
+def upsert(base: DataFrame, updates: DataFrame, id: str, order: Sequence[str] = ()) -> DataFrame:
     """One row per id: an updated row replaces the old one.
 
-    Of several updates of an id one stays, so the result has it once.
+    Of several updates of an id the last by ``order`` stays; ties, and updates
+    without an order, are decided by the rows' values, so any run gives the same.
     """
-    return base.join(updates.select(id), id, "left_anti").select(base.columns).unionByName(updates.dropDuplicates([id]))
+    values = [c for c in updates.columns if c != id and c not in order]
+    text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"}) if values else F.lit("")
+    last = latest(updates.withColumn("_values", text), id, [*order, "_values"]).drop("_values")
+    return base.join(updates.select(id), id, "left_anti").select(base.columns).unionByName(last)
 
 
 def latest(log: DataFrame, id: str, order: Sequence[str]) -> DataFrame:
@@ -126,7 +140,7 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], keep: str = "first", ord
     aggregates = [F.count(F.lit(1)).alias("_n")]
     if order is not None:
         aggregates.append(F.min(order).alias("_first"))
-    keyed = df.withColumn("_key", F.sha2(F.to_json(F.struct(*keys)), 256))  # null shows as absent
+    keyed = df.withColumn("_key", row_key(df, keys))
     groups = keyed.select("_key", *([order] if order else [])).groupBy("_key").agg(*aggregates).filter("_n > 1")
     joined = join_hot_keys(keyed, groups, ["_key"], "_n", how="left")
     flag = F.col("_n").isNotNull()

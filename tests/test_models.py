@@ -72,7 +72,7 @@ def test_comparison_of_aliased_tables(spark):
     assert got["real"]["accuracy_winner"] == "dense" and got["real"]["macro_f1_winner"] == "Tie"
     assert got["llm"]["macro_f1_difference"] == pytest.approx(-0.1) and got["llm"]["macro_f1_winner"] == "sparse"
     best = {(r["label_source"], r["representation"]): r["model"] for r in cmp.best_models(every).collect()}
-    assert best[("llm", "sparse")] == "lr"  # a full tie goes to the first name
+    assert best[("llm", "sparse")] == "logistic"  # a full tie goes to the first name
     twice = every.unionByName(every.filter("representation = 'dense'"))
     with pytest.raises(Exception, match="experiment occurs twice"):
         cmp.compare_representations(twice, "sparse", "dense").collect()

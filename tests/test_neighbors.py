@@ -101,3 +101,25 @@ def test_alignment_rejects_gaps_and_repeats(spark):
         nb.align_labels(meta, full, part, "id", names).collect()
     with pytest.raises(Exception, match="id occurs twice: 1"):
         nb.align_labels(meta, twice, full, "id", names).collect()
+
+
+def test_tiles_copy_each_vector_at_most_sqrt_of_blocks_times(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(600, 6))
+    seen = []
+    tile_rows = nb._tile_rows
+
+    def counted(asked, vectors, pairs):
+        rows = tile_rows(asked, vectors, pairs)
+        seen.append((vectors.select("block").distinct().count(), rows.groupBy("gid", "role").count().agg({"count": "max"}).first()[0]))
+        return rows
+
+    monkeypatch.setattr(nb, "_tile_rows", counted)
+    ids = list(range(600))
+    assert lists(nb.knn(frame(spark, ids, v), "id", "v", 4, block_rows=15)) == brute(ids, v, 4)
+    (blocks, copies), = seen
+    assert blocks >= 40 and copies <= np.sqrt(blocks)
+
+
+def test_tile_sizes():
+    assert [nb._tile_sizes(b, 4096) for b in (1, 2, 30, 900, 10**6)] == [2, 3, 7, 31, 64]

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators import profile as pf
 from corpuslab.operators.quantiles import exact_quantiles, trim_quantile
+from corpuslab.operators.quality import duplicate_rows
 from corpuslab.operators.sets import (
-    frames_equal, latest, mark_duplicates, partition_check, union_all, upsert, with_row_index,
+    frame_diff, frames_equal, latest, mark_duplicates, partition_check, union_all, upsert, with_row_index,
 )
 from corpuslab.operators.split import split_quotas, stratified_split
 
@@ -117,3 +118,22 @@ def test_row_index_is_dense(spark):
     got = [(r["k"], r["id"]) for r in with_row_index(df, ["k", "id"]).orderBy("row_index").collect()]
     assert got == sorted(got)
     assert with_row_index(df, ["k", "id"]).agg(F.max("row_index"), F.count_distinct("row_index")).first()[:] == (999, 1000)
+
+
+def test_rows_with_nulls_in_other_columns_differ(spark):
+    schema = "id int, a string, b string, c array<string>"
+    one = spark.createDataFrame([(1, None, "x", [None, "y"])], schema)
+    for other in ((1, "x", None, [None, "y"]), (1, None, "x", ["y", None]), (1, None, "x", ["y"])):
+        two = spark.createDataFrame([other], schema)
+        assert not frames_equal(one, two) and frame_diff(one, two).count() == 2
+        assert duplicate_rows(one.union(two), ["a", "b", "c"]).first()[:] == (0, 0)
+        assert mark_duplicates(one.union(two), ["a", "b", "c"], "none").filter("is_duplicate").count() == 0
+    assert frames_equal(one, one) and duplicate_rows(one.union(one), ["a", "b", "c"]).first()[:] == (1, 2)
+
+
+def test_last_update_by_order_stays(spark):
+    base = spark.createDataFrame([(1, 0, "old"), (2, 0, "old")], "id int, t int, v string")
+    updates = spark.createDataFrame([(1, 5, "b"), (1, 7, "a"), (1, 7, "c"), (3, 1, None)], base.schema)
+    got = sorted(tuple(r) for r in upsert(base, updates, "id", ["t"]).collect())
+    assert got == [(1, 7, "c"), (2, 0, "old"), (3, 1, None)]
+    assert sorted(r["v"] for r in upsert(base, updates.filter("id = 1").drop("t").withColumn("t", F.lit(0)), "id").collect()) == ["c", "old"]

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpuslab.operators.labelling import pending
 from corpuslab.sources.audit import AuditLog
 
 
@@ -26,7 +25,8 @@ def label_stream(
     A document delivered again within ``remember`` is dropped by state; one
     that was labelled before is dropped by the audit.  The watermark follows
     the time of arrival, so no document is ever late and lost.  A micro-batch
-    that is repeated after a failure asks only for what it did not write.
+    that is repeated after a failure asks only for what it did not write.  Of
+    the audit a batch reads id, status and time, in the folders of its ids.
     """
     columns = stream.columns
     arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
@@ -35,7 +35,7 @@ def label_stream(
     def write(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():  # a batch that only advances the watermark
             return
-        log.append(label(pending(batch, log.current(), id)))
+        log.append(label(log.pending(batch, id)))
 
     return (
         fresh.writeStream.foreachBatch(write)

@@ -89,6 +89,25 @@ def test_statuses_attempts_and_resume(spark, train, tmp_path):
     assert lb.labelling_time(log.current()).first()["total_seconds"] >= 0
 
 
+def test_a_batch_reads_its_folders_and_three_columns_of_the_audit(spark, tmp_path):
+    log = AuditLog(spark, scratch_path(spark, "audit"))
+    columns = "id long, headline string, description string, body string, category string, section string"
+    every = spark.range(300).select("id", *[F.lit("ok").alias(c) for c in ("headline", "description", "body", "category", "section")])
+    run_labelling(spark.createDataFrame(every.collect(), columns), log, labeller(tmp_path / "asked"))
+    batch = every.filter("id in (7, 8, 1000)")
+    states = log.states(batch)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("Scan parquet"):]
+    assert "ReadSchema: struct<id:bigint,status:string,generated_at_utc:timestamp>" in scan
+    assert "PartitionFilters: [part" in scan and len(states.inputFiles()) <= 3
+    known = {r["id"] for r in states.collect()}
+    assert {7, 8} <= known and len(known) < 60
+    assert [r["id"] for r in log.pending(batch).collect()] == [1000]
+    old = scratch_path(spark, "old-audit")  # a log without folders is read as well
+    log.current().write.parquet(old)
+    assert [r["id"] for r in AuditLog(spark, old).pending(batch).collect()] == [1000]
+
+
 def test_audit_disagreement_is_found(spark, train, tmp_path):
     log = AuditLog(spark, scratch_path(spark, "audit"))
     done = run_labelling(train, log, labeller(tmp_path / "asked", fixed=True))

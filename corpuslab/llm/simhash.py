@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslab.llm.common import components, row_key, slices
@@ -26,9 +26,9 @@ FULL_BUCKET = 64  # larger buckets are linked through balls of radius one, not b
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 WIDE_WORDS = 16  # 64-bit words of a wide fingerprint, which are cut into Golay words of 23 bits
-TABLES = 128  # pairs of Golay words that are keys
+TABLES = 192  # pairs of Golay words that are keys
 WORD_BITS = 20  # bits of 64 that differ at most between candidates; at a similarity of 0.8 about 8 do
-PAIRED_BUCKET = 16  # members of larger buckets are compared with the bucket's first, not with each other
+PAIRED_BUCKET = 16  # members of larger buckets are compared with the bucket's leader and split by one more Golay word
 
 
 def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -203,24 +203,6 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` per component, with all its columns: the smallest identifier, of equal ones the smallest text hash.
-
-    Rows equal in identifier and text are one document; exactly one of them
-    stays.  Only identifiers and fingerprints are grouped, and the survivors'
-    keys select the rows.
-    """
-    keys = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key")
-    )
-    rows = materialize(fingerprints(keys, "doc_id", "text", carry=["row_key"]), "simhash-fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
-    prints = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-firsts")
-    groups = components(near_links(prints), "simhash").withColumnRenamed("node", "fp")
-    rooted = prints.join(groups, "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
-    return _survivors(docs, rooted, id_col, text_col)
-
-
 def _survivors(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The row of ``docs`` that comes first of each ``root``."""
     stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("stay_key"))
@@ -254,19 +236,20 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes)).view(np.uint64)
 
 
-def wide_keys(prints: np.ndarray, tables: GolayTables) -> np.ndarray:
-    """``TABLES`` bucket keys for each row of wide fingerprints.
+def wide_keys(prints: np.ndarray, tables: GolayTables) -> tuple[np.ndarray, np.ndarray]:
+    """``TABLES`` bucket keys for each row of wide fingerprints, and as many codewords that split crowded buckets.
 
-    A key holds the nearest codewords of two Golay words; the pairs of words
-    are a fixed draw.  Similar texts differ in few bits everywhere, so some of
-    the pairs decode alike.
+    A key holds the nearest codewords of two Golay words, a split that of a
+    third; the words are a fixed draw.  Similar texts differ in few bits
+    everywhere, so some of the pairs decode alike.
     """
     bits = np.unpackbits(prints.view(np.uint8), axis=1)
     number = bits.shape[1] // 23
     words = bits[:, : number * 23].reshape(len(bits), number, 23).astype(np.int64) @ (1 << np.arange(23))
     codes = golay_keys(words.reshape(-1), tables)[:, 0].reshape(len(bits), number)
     pairs = np.array(random.Random(SEED).sample(list(itertools.combinations(range(number), 2)), TABLES))
-    return np.arange(TABLES) << 24 | codes[:, pairs[:, 0]] << 12 | codes[:, pairs[:, 1]]
+    third = np.array([next(k for k in range(a + b, a + b + 3) if k % number not in (a, b)) % number for a, b in pairs.tolist()])
+    return np.arange(TABLES) << 24 | codes[:, pairs[:, 0]] << 12 | codes[:, pairs[:, 1]], codes[:, third]
 
 
 def _wide_prints(keys: DataFrame) -> DataFrame:
@@ -289,7 +272,7 @@ def _wide_prints(keys: DataFrame) -> DataFrame:
 
 
 def _wide_buckets(prints: DataFrame) -> DataFrame:
-    """key, node and the first 64 bits of the fingerprint, ``TABLES`` rows for each of ``prints`` (node, fp)."""
+    """key, split, node and the first 64 bits of the fingerprint, ``TABLES`` rows for each of ``prints`` (node, fp)."""
     tables = golay_tables()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,37 +280,66 @@ def _wide_buckets(prints: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
                 fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+                keys, splits = wide_keys(fp, tables)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(wide_keys(fp, tables).reshape(-1)), pa.array(np.repeat(part.column("node").to_numpy(), TABLES)),
+                    [pa.array(keys.reshape(-1)), pa.array(splits.reshape(-1)), pa.array(np.repeat(part.column("node").to_numpy(), TABLES)),
                      pa.array(np.repeat(fp[:, 0].view(np.int64), TABLES))],
-                    names=["key", "node", "word"],
+                    names=["key", "split", "node", "word"],
                 )
 
-    return prints.select("node", "fp").mapInArrow(run, "key long, node long, word long")
+    return prints.select("node", "fp").mapInArrow(run, "key long, split long, node long, word long")
 
 
-def similar_candidates(prints: DataFrame) -> DataFrame:
-    """Pairs (a, b) of distinct nodes that share a bucket and are near in one word of their fingerprints.
+def _near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
-    Buckets up to ``PAIRED_BUCKET`` nodes give all pairs; members of larger ones
-    are compared with the smallest node only, so a large group of near copies
-    gives a few rows for each member.
+
+def _bucket_pairs(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Near pairs (a, b) within the buckets of ``members`` (bucket, node, word, n, rank), and (a, b, bits) with the leaders.
+
+    Buckets up to ``PAIRED_BUCKET`` nodes give all pairs.  The leader of a
+    larger one is its node with the highest rank: a row for each member,
+    whatever the size.
+    """
+    small = members.where(F.col("n") <= PAIRED_BUCKET).select("bucket", "node", "word")
+    other = small.select("bucket", F.col("node").alias("b"), F.col("word").alias("b_word"))
+    pairs = small.join(other, "bucket").where((F.col("node") < F.col("b")) & (_near("word", "b_word") <= WORD_BITS))
+    large = members.where(F.col("n") > PAIRED_BUCKET)
+    leaders = large.groupBy("bucket").agg(F.max(F.struct("rank", "node", "word")).alias("l")).select(
+        "bucket", F.col("l.node").alias("leader"), F.col("l.word").alias("leader_word")
+    )
+    stars = large.join(materialize(leaders, f"{name}-leaders"), "bucket").where("node <> leader").withColumn(
+        "bits", _near("word", "leader_word")
+    ).where(F.col("bits") <= WORD_BITS)
+    return pairs.select(F.col("node").alias("a"), "b"), stars.select(F.col("leader").alias("a"), F.col("node").alias("b"), "bits")
+
+
+def similar_candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of distinct nodes that share a bucket, and (a, b, bits) of nodes with the leaders of crowded ones.
+
+    Both are near in one word of their fingerprints.  A node's rank is the
+    number of nodes it meets in all its buckets: a text with many near copies
+    meets more of them than a copy does, so it leads the buckets they share.
+    Crowded buckets are also split by one more codeword, and the parts treated
+    alike, so that texts that are near each other but not near the leader meet.
     """
     # Each fingerprint becomes TABLES rows, so small tasks bound the memory.
     tasks = 4 * max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.rdd.getNumPartitions())
     buckets = _wide_buckets(prints.select("node", "fp").repartition(tasks, "node"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-    shared = materialize(shared, "similar-shared")
-    members = materialize(buckets.join(shared.select("key", "n"), "key"), "similar-members")
-    near = F.bit_count(F.col("x.word").bitwiseXOR(F.col("y.word"))) <= WORD_BITS
-    other = F.col("x.node") < F.col("y.node")
-    small = members.where(F.col("n") <= PAIRED_BUCKET)
-    pairs = small.alias("x").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & other & near)
-    large = members.where(F.col("n") > PAIRED_BUCKET)
-    heads = large.join(shared.select("key", "first"), "key").where("node = first").select("key", "node", "word")
-    stars = materialize(heads, "similar-heads").alias("x").join(large.alias("y"), (F.col("x.key") == F.col("y.key")) & other & near)
-    ends = (F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    return pairs.select(*ends).union(stars.select(*ends)).distinct()
+    shared = materialize(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "similar-shared")
+    members = materialize(buckets.join(shared, "key"), "similar-members")
+    ranks = materialize(
+        members.where(F.col("n") > PAIRED_BUCKET).groupBy("node").agg(F.sum("n").alias("rank")), "similar-ranks"
+    )
+    ranked = members.join(ranks, "node", "left")
+    pairs, stars = _bucket_pairs(ranked.withColumnRenamed("key", "bucket"), "similar-buckets")
+    crowded = materialize(
+        ranked.where(F.col("n") > PAIRED_BUCKET).select((F.col("key") * 4096 + F.col("split")).alias("bucket"), "node", "word", "rank"),
+        "similar-crowded",
+    )
+    parts = materialize(crowded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "similar-parts")
+    finer, finer_stars = _bucket_pairs(crowded.join(parts, "bucket"), "similar-split")
+    return pairs.union(finer), stars.union(finer_stars)
 
 
 def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -361,16 +373,41 @@ def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: i
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
+def similar_groups(keys: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """node and root of every node that is linked to another.
+
+    First every node of a crowded bucket is compared with the nearest of its
+    leaders, one pair for each node.  Most of a large group is one component
+    after that; of all other candidates only pairs across components are left
+    to compare, since a link within one changes nothing.
+    """
+    pairs, stars = (materialize(x, "similar-pairs") for x in similar_candidates(firsts))
+    nearest = stars.groupBy("b").agg(F.min(F.struct("bits", "a")).alias("l")).select(F.col("l.a").alias("a"), "b")
+    nodes = firsts.select("node", "first")
+    linked = materialize(_similar_links(keys, materialize(nearest, "similar-nearest"), nodes, size, similarity), "similar-linked")
+    found = materialize(components(linked, "similar-near"), "similar-found")
+    rest = pairs.union(stars.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for end in ("a", "b"):
+        rest = rest.join(found.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    rest = rest.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    more = _similar_links(keys, materialize(rest, "similar-rest"), nodes, size, similarity)
+    return components(linked.union(more), "similar")
+
+
 def keep_one_per_similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """One row of ``docs`` per group of similar texts, chosen as in ``keep_one_per_group``.
+    """One row of ``docs`` per group of similar texts, with all its columns: the smallest identifier, of equal ones the
+    smallest text hash.
 
     Two texts are linked when their sets of shingles of ``size`` words have a
     Jaccard similarity of ``similarity`` or more.  Candidates come from Golay
     buckets of wide SimHash fingerprints, which can miss a pair (the README has
     the measured recall); each is verified, so none is linked that is less
-    similar.  Texts of the same words are one node.
+    similar.  Texts of the same words are one node; so null, empty and blank
+    texts are one group.  Rows equal in identifier and text are one document.
+    Null identifiers come last.  Whole texts are compared, however long.  An
+    empty table gives an empty one.
     """
     keys = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key")
@@ -378,7 +415,6 @@ def keep_one_per_similar(
     rows = materialize(_wide_prints(keys), "similar-prints")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     firsts = materialize(rows.groupBy("node").agg(F.min(order).alias("first"), F.first("fp").alias("fp")), "similar-firsts")
-    pairs = materialize(similar_candidates(firsts), "similar-pairs")
-    groups = components(_similar_links(keys, pairs, firsts.select("node", "first"), size, similarity), "similar")
+    groups = similar_groups(keys, firsts, size, similarity)
     rooted = firsts.select("node", "first").join(groups, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
     return _survivors(docs, rooted, id_col, text_col)

@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 
 from corpuslab.llm import simhash
-from corpuslab.llm.simhash import bucket_keys, fingerprint, golay_keys, golay_tables, keep_one_per_group, simhash_groups
+from corpuslab.llm.simhash import bucket_keys, fingerprint, golay_keys, golay_tables, simhash_groups
 
 SCHEMA = "doc_id long, text string, fp string, component_id int"
 
@@ -103,15 +103,5 @@ def test_full_buckets_lose_no_link(spark, monkeypatch):
     assert facts(simhash_groups(frame(spark, rows))) == brute(rows)
 
 
-def test_one_per_group_stays_with_all_columns(spark):
-    rows = rows_with_neighbours()
-    left = keep_one_per_group(frame(spark, rows))
-    assert left.columns == ["doc_id", "text", "fp", "component_id"]
-    groups = {c for _, _, c in brute(rows)}
-    assert {r.doc_id for r in left.collect()} == groups
-    assert left.count() == len(groups)
-
-
 def test_empty_table(spark):
     assert simhash_groups(frame(spark, [])).collect() == []
-    assert keep_one_per_group(frame(spark, [])).collect() == []

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from corpuslab.llm import simhash
 from corpuslab.llm.simhash import keep_one_per_similar, shingle_set
@@ -87,5 +88,20 @@ def test_large_group_of_similar_texts_leaves_one(spark, monkeypatch):
     assert [r.doc_id for r in keep_one_per_similar(frame(spark, rows)).collect()] == [0]
 
 
+@pytest.mark.parametrize("copies", [10, 200, 600])
+def test_star_of_copies_leaves_one(spark, copies):
+    """Every copy is similar to the one original and to no other copy."""
+    rng = random.Random(14)
+    words = [f"w{k}" for k in range(3000)]
+    text = [rng.choice(words) for _ in range(400)]
+    stars = [[f"{k}{w}" for w in text] for k in range(2)]
+    rows = [(1000 * s + 500, " ".join(star)) for s, star in enumerate(stars)]
+    rows += [(5000 + 1000 * s + k, " ".join(edited(rng, words, star, 8))) for s, star in enumerate(stars) for k in range(copies)]
+    want = similar_survivors(rows) if copies < 600 else [1500, 500]
+    assert len(want) <= 4
+    got = sorted((r.doc_id for r in keep_one_per_similar(frame(spark, rows)).collect()), key=str)
+    assert set(want) <= set(got) and len(got) - len(want) <= 1 + copies // 20  # the similarity is 0.817, near the bound
+
+
 def test_empty_table_of_similar_texts(spark):
     assert keep_one_per_similar(frame(spark, [])).collect() == []

@@ -92,8 +92,8 @@ def test_statuses_attempts_and_resume(spark, train, tmp_path):
 def test_a_batch_reads_its_folders_and_three_columns_of_the_audit(spark, tmp_path):
     log = AuditLog(spark, scratch_path(spark, "audit"))
     columns = "id long, headline string, description string, body string, category string, section string"
-    every = spark.range(300).select("id", *[F.lit("ok").alias(c) for c in ("headline", "description", "body", "category", "section")])
-    run_labelling(spark.createDataFrame(every.collect(), columns), log, labeller(tmp_path / "asked"))
+    every = spark.range(1001).select("id", *[F.lit("ok").alias(c) for c in ("headline", "description", "body", "category", "section")])
+    run_labelling(spark.createDataFrame(every.filter("id < 300").collect(), columns), log, labeller(tmp_path / "asked"))
     batch = every.filter("id in (7, 8, 1000)")
     states = log.states(batch)
     plan = states._jdf.queryExecution().executedPlan().toString()

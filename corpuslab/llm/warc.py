@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -83,7 +84,7 @@ def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _write_archives(records: DataFrame, path: str) -> None:
-    """Write binary records (``record``) as WARC files of about ``ARCHIVE_BYTES`` each.
+    """Write binary records (``record``) as gzipped WARC files of about ``ARCHIVE_BYTES`` of records each.
 
     Records are joined into the content of one file per row, and Spark's text
     writer commits the files: a task that runs again leaves no second copy.
@@ -111,7 +112,7 @@ def _write_archives(records: DataFrame, path: str) -> None:
 
     records.select("record").mapInArrow(run, "value string").write.option("maxRecordsPerFile", 1).option(
         "lineSep", "\r\n"
-    ).text(path)
+    ).option("compression", "gzip").text(path)
 
 
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
@@ -132,24 +133,28 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
     _write_archives(rows.mapInArrow(run, "record binary"), path)
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """One row per record: urn, page_id, url, kind, digest, bytes, refers_to, sha256 (of the stored payload), and the
-    payload on request.
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """path and content of every archive.  They are read whole, one at a time; their size is bounded when written."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
-    Archives are read whole, one at a time; their size is bounded when written.
-    """
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+    """One row per record: file, number (in its file, from 0), urn, page_id, url, kind, digest, bytes, refers_to, sha256 (of
+    the stored payload), and the payload on request."""
     fields = [
-        ("urn", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("kind", pa.string()), ("digest", pa.string()),
-        ("bytes", pa.int64()), ("refers_to", pa.string()), ("sha256", pa.string()), ("payload", pa.binary()),
+        ("file", pa.string()), ("number", pa.int32()), ("urn", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
+        ("kind", pa.string()), ("digest", pa.string()), ("bytes", pa.int64()), ("refers_to", pa.string()),
+        ("sha256", pa.string()), ("payload", pa.binary()),
     ]
     schema = pa.schema(fields if payloads else fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for file, content in zip(batch.column("path"), batch.column("content")):
                 rows, size = [], 0
-                for headers, payload in read_records(content.as_py()):
+                for number, (headers, payload) in enumerate(read_records(gzip.decompress(content.as_py()))):
                     row = {
+                        "file": file.as_py(), "number": number,
                         "urn": headers["warc-record-id"], "page_id": page_of(headers["warc-record-id"]),
                         "url": headers["warc-target-uri"], "kind": headers["warc-type"],
                         "digest": headers["warc-payload-digest"].removeprefix("sha1:"),
@@ -166,14 +171,15 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    names = "urn string, page_id long, url string, kind string, digest string, bytes long, refers_to string, sha256 string"
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(
-        run, names + (", payload binary" if payloads else "")
+    names = (
+        "file string, number int, urn string, page_id long, url string, kind string, digest string, bytes long, "
+        "refers_to string, sha256 string"
     )
+    return archive_files(spark, path).mapInArrow(run, names + (", payload binary" if payloads else ""))
 
 
 def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """urn and refers_to of every record: null for responses, else the urn of the original.
+    """file, number and original (the urn of the response) of every record that repeats a payload.
 
     Of records with equal payloads (digest, SHA-256 and size) of ``min_bytes`` or
     more, the smallest page, then the smallest urn is the original; pages
@@ -182,29 +188,45 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     key = ["digest", "sha256", "bytes"]
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "urn")
-    originals = headers.where(F.col("bytes") >= min_bytes).groupBy(*key).agg(F.min(order)["urn"].alias("original"))
-    originals = materialize(originals, "warc-originals")
-    return headers.join(originals, key, "left").select(
-        "urn", F.when(F.col("original") != F.col("urn"), F.col("original")).alias("refers_to")
+    originals = headers.where(F.col("bytes") >= min_bytes).groupBy(*key).agg(
+        F.min(order)["urn"].alias("original"), F.count("*").alias("copies")
     )
+    originals = materialize(originals.where("copies > 1").drop("copies"), "warc-originals")
+    return headers.join(originals, key).where(F.col("original") != F.col("urn")).select("file", "number", "original")
 
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, min_bytes: int = 0) -> None:
-    """Write ``source`` again to ``target`` with revisit records for repeated payloads, and fresh headers."""
-    headers = materialize(read_archives(spark, source).select("urn", "page_id", "digest", "sha256", "bytes"), "warc-headers")
-    decided = resolve_revisits(headers, min_bytes).withColumnRenamed("refers_to", "original")
-    records = read_archives(spark, source, payloads=True).join(decided, "urn")
+    """Write ``source`` again to ``target`` with revisit records for repeated payloads, and fresh headers.
+
+    Payloads stay in their archives: the decisions about an archive's records
+    (no more of them than it has records) go to the task that rewrites it.
+    Decisions are written first, so Spark knows their size and broadcasts them
+    only while they are small; beyond, they meet the archives, still gzipped,
+    by name.
+    """
+    headers = read_archives(spark, source).select("file", "number", "urn", "page_id", "digest", "sha256", "bytes")
+    decided = resolve_revisits(materialize(headers, "warc-headers"), min_bytes)
+    decided = decided.groupBy(F.col("file").alias("path")).agg(F.collect_list(F.struct("number", "original")).alias("revisits"))
+    archives = archive_files(spark, source).join(materialize(decided, "warc-decisions"), "path", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [
-                write_record("revisit" if r["original"] else "response", r["urn"], r["url"], r["payload"], r["original"],
-                             r["bytes"], r["digest"])
-                for r in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
-
-    _write_archives(records.select("urn", "url", "payload", "original", "bytes", "digest").mapInArrow(run, "record binary"), target)
+            for content, revisits in zip(batch.column("content"), batch.column("revisits")):
+                originals = {r["number"]: r["original"] for r in revisits.as_py() or []}
+                made, size = [], 0
+                for number, (headers, payload) in enumerate(read_records(gzip.decompress(content.as_py()))):
+                    original = originals.get(number)
+                    made.append(write_record(
+                        "revisit" if original else "response", headers["warc-record-id"], headers["warc-target-uri"], payload,
+                        original, int(headers["http-length"]), headers["warc-payload-digest"].removeprefix("sha1:"),
+                    ))
+                    size += len(made[-1])
+                    if size > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
+                        made, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
+
+    _write_archives(archives.mapInArrow(run, "record binary"), target)
 
 
 def archived_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

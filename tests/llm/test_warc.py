@@ -61,6 +61,25 @@ def test_payloads_survive_the_round_trip(spark, monkeypatch):
     assert spark.read.format("binaryFile").load(target).count() > 10
 
 
+def test_decisions_meet_the_archives_without_broadcast(spark):
+    rows = [(k, f"http://a/{k}", f"<p>{k % 7}</p>") for k in range(60)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert facts(archived_pages(frame(spark, rows))) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_decisions_name_the_smallest_page(spark):
+    source = scratch_path(spark, "warc-test")
+    write_pages(frame(spark, [(3, "u", "a"), (2, "u", "a"), (1, "u", "b"), (4, "u", "")]), source)
+    headers = read_archives(spark, source)
+    at = {(r.file, r.number): r.page_id for r in headers.collect()}
+    found = {at[r.file, r.number]: warc.page_of(r.original) for r in warc.resolve_revisits(headers).collect()}
+    assert found == {3: 2}
+
+
 def test_records_are_well_formed():
     record = write_record("response", "<urn:page:1:0>", "http://a", b"body\r\n\r\n")
     second = write_record("revisit", "<urn:page:2:0>", "http://a", b"", "<urn:page:1:0>", 8, "D")

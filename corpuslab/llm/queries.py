@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpuslab.llm import (
     collocations, embedding_dedup, exact_dedup, language_id, packing, quality, sentencepieces, simhash, spelling, substring_dedup,
@@ -25,19 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@F.pandas_udf(T.LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    return ids.map(lambda x: None if x is None else zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document: their number and CRC, and whether decoding gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("original"))
-    coded = sentencepieces.encode_pieces(docs, model, carry=["original"])
-    facts = coded.select("doc_id", "original", "ids", F.size("ids").cast("long").alias("n_ids"), ids_crc32("ids").alias("ids_crc32"))
-    decoded = sentencepieces.decode_pieces(facts, model, carry=["original", "n_ids", "ids_crc32"])
-    return decoded.select("doc_id", "n_ids", "ids_crc32", F.col("text").eqNullSafe(F.col("original")).alias("round_trip"))
+    return sentencepieces.checked_pieces(table(spark, sf_dir, "documents"), model)
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,15 +18,20 @@ from pyspark.sql import types as T
 from corpuslab.llm.common import slices
 
 SPACE = "▁"
-TEXT_BYTES = 16 << 20  # text whose words are indexed together
-INDEX_CHARS = 1 << 20  # characters of one suffix array
+TEXT_BYTES = 4 << 20  # text whose words are indexed together
+INDEX_CHARS = 1 << 18  # characters of one suffix array
+KNOWN_CHARS = 6 << 20  # characters of the words whose ids a task remembers; beyond, it starts anew
 LONG_WORD = 64  # longer words are relaxed one by one
 
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 class PieceIndex:
-    """The pieces of a BPE model as rows of character codes, sorted for binary search."""
+    """The pieces of a BPE model as rows of character codes, sorted for binary search.
+
+    Scores of a BPE model are the ranks of its merges, whole numbers; other
+    models (unigram) choose pieces by another rule and are an error.
+    """
 
     def __init__(self, model: str) -> None:
         self.processor = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -56,6 +62,8 @@ class PieceIndex:
         self.ids = np.array(long, np.int64)
         self.lengths = np.array([len(self.pieces[i]) for i in long], np.int64)
         scores = np.array([sp.get_score(i) for i in long])
+        if (scores != np.round(scores)).any():
+            raise ValueError("not a BPE model: its scores are no ranks of merges")
         # Rank of a merge: higher is earlier; equal scores share a rank.
         self.rank = np.unique(scores, return_inverse=True)[1].astype(np.int64)
         self.table = table
@@ -218,10 +226,34 @@ def _relax_one(start: int, end: int, edges: np.ndarray, ranks: np.ndarray, strid
 
 
 class PieceEncoder:
-    """Encodes batches of texts; each distinct word of a batch is matched and relaxed once."""
+    """Encodes batches of texts; each distinct word is matched and relaxed once while its ids are remembered."""
 
     def __init__(self, model: str) -> None:
         self.index = PieceIndex(model)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # of a word, in ``begin`` and ``each``
+        self.known_chars = 0
+        self.ids = np.zeros(0, np.int32)  # of all known words, one after the other
+        self.begin, self.each = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words that are not known yet, about ``INDEX_CHARS`` characters at a time."""
+        ids, counts, waiting, size = [self.ids], [self.each], [], 0
+        for word in [*words, None]:
+            if waiting and (word is None or size + len(word) > INDEX_CHARS):
+                got = self._encode_words(waiting)
+                ids.append(got[0].astype(np.int32))
+                counts.append(got[1])
+                waiting, size = [], 0
+            if word is not None:
+                self.number[word] = len(self.number)
+                self.known_chars += len(word)
+                waiting.append(word)
+                size += len(word) + 1
+        self.ids, self.each = np.concatenate(ids), np.concatenate(counts)
+        self.begin = np.cumsum(self.each) - self.each
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each has."""
@@ -260,35 +292,26 @@ class PieceEncoder:
         plain = pa.array([t[1:] if u else "" for t, u in zip(normal, usual)], pa.string())
         split = pc.split_pattern(plain, SPACE)
         coded = split.flatten().dictionary_encode()
-        number = {SPACE + w: k for k, w in enumerate(coded.dictionary.to_pylist())}
-        codes = coded.indices.to_numpy()
         stops = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)).astype(np.int64)
-        at = []
-        for k, (text, known) in enumerate(zip(normal, usual)):
-            if known:
-                at.append(codes[(stops[k - 1] if k else 0) : stops[k]])
-            else:
-                words = ([text] if text else []) if self.index.across else _WORD.findall(text)
-                at.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
-        ids, counts, waiting, size = [], [], [], 0
-        for word in number:
-            if waiting and size + len(word) > INDEX_CHARS:
-                got = self._encode_words(waiting)
-                ids.append(got[0])
-                counts.append(got[1])
-                waiting, size = [], 0
-            waiting.append(word)
-            size += len(word) + 1
-        if waiting:
-            got = self._encode_words(waiting)
-            ids.append(got[0])
-            counts.append(got[1])
-        table, each = np.concatenate([np.zeros(0, np.int64), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
-        begin = np.cumsum(each) - each
+        common = [SPACE + w for w in coded.dictionary.to_pylist()]
+        odd = {
+            k: ([text] if text else []) if self.index.across else _WORD.findall(text)
+            for k, (text, known) in enumerate(zip(normal, usual)) if not known
+        }
+        if self.known_chars > KNOWN_CHARS:
+            self._forget()
+        new = dict.fromkeys(w for words in (common, *odd.values()) for w in words if w not in self.number)
+        if new:
+            self._learn(list(new))
+        codes = np.fromiter(map(self.number.__getitem__, common), np.int64, len(common))[coded.indices.to_numpy()]
         out = []
-        for words in at:
-            n = each[words]
-            out.append(table[np.arange(n.sum()) + np.repeat(begin[words] - (np.cumsum(n) - n), n)])
+        for k in range(len(normal)):
+            if k in odd:
+                words = np.fromiter(map(self.number.__getitem__, odd[k]), np.int64, len(odd[k]))
+            else:
+                words = codes[(stops[k - 1] if k else 0) : stops[k]]
+            n = self.each[words]
+            out.append(self.ids[np.arange(n.sum()) + np.repeat(self.begin[words] - (np.cumsum(n) - n), n)])
         return out
 
 
@@ -319,7 +342,12 @@ class PieceDecoder:
 
 def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
                   carry: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, the ``carry`` columns and ``ids``.  Null text has null ids, empty text none."""
+    """One row per document: doc_id, the ``carry`` columns and ``ids``.  Null text has null ids, empty text none.
+
+    Of pieces with equal scores the leftmost merges first.  Repeated rows give
+    repeated rows, an empty table an empty result.  ``carry`` may not name
+    ``doc_id``, ``text`` or ``ids``; columns it does not name are ignored.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(model)
         for batch in slices(batches, "text", TEXT_BYTES):
@@ -355,3 +383,34 @@ def decode_pieces(coded: DataFrame, model: str, id_col: str = "doc_id", ids_col:
     rows = coded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"), *(carry or []))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "ids"] + [T.StructField("text", T.StringType())])
     return rows.mapInArrow(run, schema)
+
+
+def checked_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_ids, ids_crc32 (of the unsigned little-endian 32-bit ids) and round_trip, whether
+    decoding gives the text back.
+
+    Texts are encoded and decoded in one pass, a slice at a time, so that
+    neither ids nor a second copy of the texts travel.  A null text has null
+    figures and round_trip true, an empty one no ids.  Repeated rows give
+    repeated rows, an empty table an empty result; other columns are ignored.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decode = PieceEncoder(model), PieceDecoder(model).decode
+        for batch in slices(batches, "text", TEXT_BYTES):
+            texts = batch.column("text").to_pylist()
+            sizes, sums, same = [], [], []
+            for text, ids in zip(texts, encoder.encode([t or "" for t in texts])):
+                sizes.append(None if text is None else len(ids))
+                sums.append(None if text is None else zlib.crc32(ids.astype("<u4")))
+                same.append(text is None or decode(ids.tolist()) == text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(same)],
+                names=["doc_id", "n_ids", "ids_crc32", "round_trip"],
+            )
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = T.StructType([
+        rows.schema["doc_id"], T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()),
+        T.StructField("round_trip", T.BooleanType()),
+    ])
+    return rows.mapInArrow(run, schema)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +9,7 @@ import pytest
 import sentencepiece
 
 from corpuslab.llm import sentencepieces
-from corpuslab.llm.sentencepieces import PieceDecoder, PieceEncoder, decode_pieces, encode_pieces, match_pieces
+from corpuslab.llm.sentencepieces import PieceDecoder, PieceEncoder, checked_pieces, decode_pieces, encode_pieces, match_pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, ids string, original int"
@@ -47,6 +48,23 @@ def test_small_index_blocks_give_the_same(library, monkeypatch):
     assert [e.tolist() for e in PieceEncoder(MODEL).encode(some)] == library.encode(some)
 
 
+def test_forgotten_words_are_learned_again(library, monkeypatch):
+    monkeypatch.setattr(sentencepieces, "KNOWN_CHARS", 200)
+    some, encoder = texts(), PieceEncoder(MODEL)
+    got = [e.tolist() for start in range(0, len(some), 7) for e in encoder.encode(some[start:start + 7])]
+    assert got == library.encode(some) and len(encoder.number) < len({w for t in some for w in t.split()})
+
+
+def test_other_models_are_refused(monkeypatch):
+    class Unigram(sentencepiece.SentencePieceProcessor):
+        def get_score(self, i):
+            return -7.25
+
+    monkeypatch.setattr(sentencepieces.sentencepiece, "SentencePieceProcessor", Unigram)
+    with pytest.raises(ValueError, match="BPE"):
+        PieceEncoder(MODEL)
+
+
 def test_text_of_ids_is_the_librarys(library):
     decode = PieceDecoder(MODEL).decode
     rng = random.Random(1)
@@ -78,3 +96,10 @@ def test_tables(spark, library):
         [(i, None if ids is None else library.decode(ids)) for i, ids in want], key=str
     )
     assert encode_pieces(docs.limit(0), MODEL).collect() == []
+    want = [
+        (i, None, None, True) if ids is None else
+        (i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), library.decode(ids) == t)
+        for (i, t), (_, ids) in zip(rows, want)
+    ]
+    assert sorted(map(tuple, checked_pieces(docs, MODEL).collect()), key=str) == sorted(want, key=str)
+    assert checked_pieces(docs.limit(0), MODEL).collect() == []

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 
 import numpy as np
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.common import articles, table
 from corpuslab.functions.labels import Taxonomy
@@ -47,6 +49,35 @@ def labelled_inner(spark, d):
     return lb.apply_labels(docs, _audit(spark, d), "doc_id", "lang", "source")
 
 
+def labelled_set_check(spark, d):
+    """A labelled set without the failed rows, with sections the tree lacks (src7) and changed lengths (fr)."""
+    train = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    done = lb.apply_labels(train, _audit(spark, d), "doc_id", "lang", "source")
+    done = done.withColumn("n_chars", F.when(F.col("lang") == "fr", -F.col("n_chars")).otherwise(F.col("n_chars")))
+    edges = train.filter("source <> 'src7'").select("lang", F.concat("lang", F.lit("-"), "source").alias("section"))
+    tree = Taxonomy.from_frame(edges, "lang", "section")
+    return q.check_labelled_set(train, done, _audit(spark, d), tree, "doc_id", "lang", "source")
+
+
+def audit_order(spark, d):
+    """A log written in reverse and compacted: whether every record follows a smaller id in its file."""
+    schema = T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("generated_at_utc", T.StringType()),
+    ])
+    path = scratch_path(spark, "audit-order")
+    log = AuditLog(spark, scratch_path(spark, "audit-order"), schema, 4)
+    rows = table(spark, d, "labels").select(
+        F.col("doc_id").alias("id"), F.lit("success").alias("status"), F.lit("2024-01-01").alias("generated_at_utc")
+    )
+    log.append(rows.orderBy(F.desc("id")))
+    log.compact(path)
+    stored = spark.read.parquet(path).select(
+        "id", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    before = F.lag("id").over(W.partitionBy("file").orderBy("place"))
+    return stored.select("id", F.coalesce(before < F.col("id"), F.lit(True)).alias("in_order"))
+
+
 def audit_upsert(spark, d):
     """Failed records replaced by a second run; all others kept."""
     base = _audit(spark, d).select("id", "llm_category", "status")
@@ -179,6 +210,7 @@ QUERIES = {
     for f in (
         pending_anti_join, labelled_inner, audit_upsert, audit_latest, audit_metadata_check, audit_status_check,
         audit_agreement_check, labelling_time, status_counts, label_hierarchical, resumed_labelling, stream_label,
+        labelled_set_check, audit_order,
     )
 }
 QUERIES["encode_incremental"] = encode_incremental_texts
@@ -201,6 +233,15 @@ _COUNTS = ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::DOUBLE"
 ORACLE = {
     "pending_anti_join": """SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""",
     "labelled_inner": f"""WITH {_AUDIT} SELECT id AS doc_id, lang, lang || '-' || source AS source, n_chars FROM au WHERE good""",
+    "labelled_set_check": f"""WITH {_AUDIT} SELECT 'audit status' AS "check", status AS key, count(*)::VARCHAR AS detail FROM au
+        WHERE NOT good GROUP BY status
+      UNION ALL SELECT 'id sets differ', doc_id::VARCHAR, 'only in the first table' FROM documents
+        WHERE doc_id NOT IN (SELECT id FROM au WHERE good)
+      UNION ALL SELECT 'invalid pair', id::VARCHAR, 'unknown section: ' || lang || '-' || source FROM au WHERE good AND source = 'src7'
+      UNION ALL SELECT 'non-label data changed', doc_id::VARCHAR, '1 left, 0 right' FROM documents
+        WHERE doc_id NOT IN (SELECT id FROM au WHERE good) OR (lang = 'fr' AND n_chars <> 0)
+      UNION ALL SELECT 'non-label data changed', id::VARCHAR, '0 left, 1 right' FROM au WHERE good AND lang = 'fr' AND n_chars <> 0""",
+    "audit_order": "SELECT doc_id AS id, true AS in_order FROM labels",
     "audit_upsert": f"""WITH {_AUDIT} SELECT id, CASE WHEN good THEN lang ELSE '' END AS llm_category, status FROM au WHERE n_chars <= 3000
       UNION ALL SELECT doc_id, 'second', 'success' FROM documents WHERE n_chars > 3000""",
     "audit_latest": """SELECT conv_id AS id, turn, role, md5(text) AS text_md5 FROM conversations

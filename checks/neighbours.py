@@ -8,7 +8,8 @@ from checks.common import KNN, table
 from checks.evaluation import _six
 from corpuslab.functions import vectors as vx
 from corpuslab.operators import neighbors as nb
-from corpuslab.operators.quality import check_features, check_vectors
+from corpuslab.operators.quality import check_embedding_metadata, check_features, check_vectors
+from corpuslab.operators.sets import with_row_index
 from corpuslab.plans.studies import label_consistency
 from corpuslab.session import materialize, scratch_path
 from corpuslab.sources.tables import read_embeddings, write_embeddings
@@ -135,11 +136,25 @@ def embedding_roundtrip(spark, d):
     return _six(back.select("vec_id", "label", vx.norm("embedding").alias("norm")))
 
 
+def embedding_metadata_check(spark, d):
+    """Numbered vectors: of label 3 without number, of label 5 moved by one, of label 7 without label, of label 9 unknown."""
+    known = with_row_index(_vectors(spark, d).select("vec_id", "label"), ["vec_id"], "embedding_row")
+    label = F.col("label")
+    given = known.select(
+        "vec_id",
+        F.when(label == 3, "none").when(label == 5, (F.col("embedding_row") + 1).cast("string"))
+        .otherwise(F.col("embedding_row").cast("string")).alias("embedding_row"),
+        F.when(label != 7, label).alias("label"),
+    )
+    return check_embedding_metadata(given, known.filter("label <> 9"), "vec_id", labels=["label"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         knn_pairs, knn_blocks, knn_copies, knn_lsh, neighbor_results, neighbor_summary, neighbor_by_class, top_classes,
         similarity_histogram, aligned_labels, vector_checks, vector_functions, feature_checks, embedding_roundtrip,
+        embedding_metadata_check,
     )
 }
 
@@ -192,6 +207,14 @@ ORACLE = {
       (list_position(list_transform(v, lambda x: round(x, 5)), list_max(list_transform(v, lambda x: round(x, 5)))) - 1)::INT AS largest FROM n""",
     "feature_checks": """WITH l AS (SELECT vec_id, unnest(embedding) AS w FROM embeddings)
       SELECT 'feature value' AS "check", count(*) AS n, count(DISTINCT vec_id) AS n_keys FROM l WHERE w < 0""",
+    "embedding_metadata_check": """WITH k AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS r FROM embeddings),
+      m AS (SELECT vec_id, label, r, CASE WHEN label = 3 THEN NULL WHEN label = 5 THEN r + 1 ELSE r END AS place FROM k)
+      SELECT 'embedding row' AS "check", vec_id::VARCHAR AS key, CASE WHEN place IS NULL THEN 'no row number'
+        ELSE 'row ' || place || ' is outside 0 to n - 1' END AS detail FROM m WHERE place IS NULL OR place >= (SELECT count(*) FROM m)
+      UNION ALL SELECT 'repeated embedding row', place::VARCHAR, count(*) || ' rows' FROM m WHERE place IS NOT NULL GROUP BY place HAVING count(*) > 1
+      UNION ALL SELECT 'missing label', vec_id::VARCHAR, 'label is null' FROM m WHERE label = 7
+      UNION ALL SELECT 'id sets differ', vec_id::VARCHAR, 'only in the second table' FROM m WHERE label = 9
+      UNION ALL SELECT 'moved embedding row', vec_id::VARCHAR, 'number differs from the table''s' FROM m WHERE label IN (3, 5)""",
     "embedding_roundtrip": """SELECT vec_id, label, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm
       FROM embeddings""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.common import ARTICLES, SPLIT, articles, normalized, split_documents, stripped, table, words
 from corpuslab.functions import text as tx
-from corpuslab.functions.columns import exclude_values, for_category, strip_labels
+from corpuslab.functions.columns import exclude_values, for_category, pct, rounded, strip_labels
 from corpuslab.operators import profile as pf
 from corpuslab.operators.quality import check_partition
 from corpuslab.operators.quantiles import exact_quantiles, trim_quantile
@@ -21,6 +21,15 @@ def label_distribution(spark, d):
     return pf.label_distribution(articles(spark, d), "category", mode=UP)
 
 
+def even_percentages(spark, d):
+    """Quantities as percentages of 800, of which every other one lies half way between two hundredths."""
+    counts = table(spark, d, "lineitem").groupBy(F.col("l_quantity").cast("long").alias("quantity")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(
+        "quantity", "n", pct("quantity", F.lit(800)).alias("even"), pct("quantity", F.lit(800), mode=UP).alias("half_up"),
+        rounded(F.col("quantity") / 4, 1).alias("even_tenth"),
+    )
+
+
 def rare_labels(spark, d):
     return pf.rare_labels(table(spark, d, "customer"), "c_nationkey", 60)
 
@@ -202,13 +211,17 @@ QUERIES = {
         stratified_split_check, partition_problems, column_profile, quality_summary, duplicate_marks,
         text_lengths, text_stats, category_stats, representation_lengths, rows_by_year, date_range,
         parsed_dates, crosstab_long, crosstab_wide, histogram, histogram_trimmed, box_stats,
-        exact_quantile_table, row_index, unlabelled, without_structural,
+        exact_quantile_table, row_index, unlabelled, without_structural, even_percentages,
     )
 }
 
 ORACLE = {
     "label_distribution": """SELECT lang AS category, count(*) AS n,
       round(count(*)::DOUBLE / (SELECT count(*) FROM documents) * 100, 2) AS percentage FROM documents GROUP BY lang""",
+    "even_percentages": """WITH q AS (SELECT l_quantity::BIGINT AS quantity, count(*) AS n FROM lineitem GROUP BY 1),
+      p AS (SELECT *, quantity::DOUBLE / 800 * 100 AS share, quantity * 10 // 4 AS tenths, quantity * 10 % 4 AS rest FROM q)
+      SELECT quantity, n, round_even(share, 2) AS even, round(share, 2) AS half_up,
+        (tenths + CASE WHEN rest > 2 OR (rest = 2 AND tenths % 2 = 1) THEN 1 ELSE 0 END) / 10 AS even_tenth FROM p""",
     "rare_labels": """SELECT c_nationkey, count(*) AS n,
       (SELECT count(DISTINCT c_nationkey) FROM customer) AS n_labels FROM customer GROUP BY 1 HAVING count(*) < 60""",
     "class_balance": """SELECT count(*) AS n_classes, min(n) AS smallest, max(n) AS largest

@@ -182,6 +182,39 @@ def check_same_ids(a: DataFrame, b: DataFrame, id: str) -> DataFrame:
     return _found(seen, "id sets differ", F.col("id"), detail)
 
 
+def check_embedding_metadata(
+    metadata: DataFrame, rows: DataFrame, id: str, row: str = "embedding_row", labels: Sequence[str] = ()
+) -> DataFrame:
+    """Metadata of embeddings: complete, one row per id, rows numbered 0 to n - 1, labelled, with the ids of ``rows``.
+
+    A number is compared with the number of metadata rows; numbers that all lie
+    in the range and never repeat fill it, so no sort is needed.  Where ``rows``
+    has the number too, each id must have the same one in both.  Lacking columns
+    are the only violations reported then.  Numbers may be text.
+    """
+    needed = [id, row, *labels]
+    if set(needed) - set(metadata.columns):
+        return check_schema(metadata, needed)
+    number = F.col(row).cast("string").try_cast("double")
+    placed = metadata.select(F.col(id).alias("id"), F.col(row).cast("string").alias("given"), number.alias("at"))
+    n = metadata.agg(F.count(F.lit(1))).scalar()
+    problem = F.when(F.col("at").isNull() | F.isnan("at") | (F.col("at") != F.floor("at")), "no row number").when(
+        (F.col("at") < 0) | (F.col("at") >= n), F.concat(F.lit("row "), F.col("given"), F.lit(" is outside 0 to n - 1"))
+    )
+    numbers = _found(placed.filter(problem.isNotNull()), "embedding row", F.col("id"), problem)
+    repeated = placed.filter("at IS NOT NULL").groupBy("at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeats = _found(repeated, "repeated embedding row", F.col("at").cast("long"), F.concat(F.col("n").cast("string"), F.lit(" rows")))
+    checks = [
+        check_schema(metadata, needed), check_unique_id(metadata, id), numbers, repeats,
+        check_labels_present(metadata, labels, id), check_same_ids(rows, metadata, id),
+    ]
+    if row in rows.columns:
+        other = rows.select(F.col(id).alias("id"), F.col(row).cast("string").try_cast("double").alias("other"))
+        moved = placed.join(other, "id").filter(~F.col("at").eqNullSafe(F.col("other")))
+        checks.append(_found(moved, "moved embedding row", F.col("id"), F.lit("number differs from the table's")))
+    return run_checks(checks)
+
+
 # Audit of a labelling run ----------------------------------------------------
 
 AUDIT_TEXT = ("llm_model", "prompt_version", "raw_category_response", "raw_section_response", "generated_at_utc")

@@ -63,6 +63,29 @@ def test_vectors_and_features(spark):
     assert len(got) == 3 and ("feature ids", "3", "only in the first table") in got
 
 
+def test_embedding_metadata(spark):
+    rows = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "id long, embedding_row int")
+    good = spark.createDataFrame([(3, "2", "a"), (1, "0", "b"), (2, "1", "a")], "id long, embedding_row string, label string")
+    assert found(q.check_embedding_metadata(good, rows, "id", labels=["label"])) == set()
+    assert found(q.check_embedding_metadata(good.drop("embedding_row"), rows, "id")) == {
+        ("missing column", "embedding_row", "column embedding_row is required")
+    }
+    assert ("empty table", None, "no rows") in found(q.check_embedding_metadata(good.limit(0), rows, "id"))
+    bad = spark.createDataFrame(
+        [(1, "0", None), (1, "0", " "), (4, "-1", "a"), (5, "5", "a"), (6, "x", "a"), (7, None, "a"), (8, "1.5", "a"), (None, "1", "a")],
+        good.schema,
+    )
+    assert found(q.check_embedding_metadata(bad, rows.select("id"), "id", labels=["label"])) == {
+        ("duplicate id", "1", "2 rows"), ("null id", None, "1 rows"), ("missing label", "1", "label is null"),
+        ("missing label", "1", "label is blank"), ("embedding row", "4", "row -1 is outside 0 to n - 1"),
+        *(("embedding row", str(k), "no row number") for k in (6, 7, 8)), ("repeated embedding row", "0", "2 rows"),
+        *(("id sets differ", str(k), "only in the first table") for k in (2, 3)),
+        *(("id sets differ", k, "only in the second table") for k in ("4", "5", "6", "7", "8", None)),
+    }
+    moved = spark.createDataFrame([(1, 1), (2, 0), (3, 2)], "id long, embedding_row int")
+    assert {k for c, k, _ in found(q.check_embedding_metadata(moved, rows, "id"))} == {"1", "2"}
+
+
 def test_metrics_and_classes(spark):
     m = spark.createDataFrame([("a", "0.5"), ("b", "1.5"), ("c", "x"), ("c", None)], "model string, f1 string")
     assert {k for _, k, _ in found(q.check_metric_ranges(m, ["f1"]))} == {"b", "c"}

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions.columns import throughput
 from corpuslab.functions.labels import decode, encode
 from corpuslab.operators.evaluate import confusion_matrix, metric_rows
+from corpuslab.operators.linear import LinearOneVsRest
 from corpuslab.session import collect_bounded
 
 # Settings of each kind, any of which a caller may replace.
@@ -36,6 +37,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     "mlp": {"hidden": (256, 128), "max_iter": 50, "learning_rate": 0.001},
 }
 MAX_CLASSES = 10_000
+PARALLEL_FITS = 4
 
 LABEL, WEIGHT = "label_index", "class_weight"
 
@@ -64,12 +66,11 @@ def build_classifier(
         return LogisticRegression(
             family="multinomial", regParam=1 / (p["C"] * n_rows), elasticNetParam=0.0, maxIter=p["max_iter"], **common
         )
-    if kind == "logistic_ovr":
-        return one_vs_rest(
-            LogisticRegression(regParam=1 / (p["C"] * n_rows), elasticNetParam=0.0, maxIter=p["max_iter"])
+    if kind in ("logistic_ovr", "svm"):
+        return LinearOneVsRest(
+            "squared_hinge" if kind == "svm" else "logistic", n_classes, p["C"], p["max_iter"], label=LABEL,
+            weight=common.get("weightCol"),
         )
-    if kind == "svm":
-        return one_vs_rest(LinearSVC(regParam=1 / (p["C"] * n_rows), maxIter=p["max_iter"]))
     if kind == "nb":
         return NaiveBayes(modelType="multinomial", smoothing=p["alpha"], **common)
     if kind == "random_forest":
@@ -203,6 +204,9 @@ def run_grid(
 ) -> list[Trained]:
     """All models on all targets and label sources over one feature table.
 
+    The models of a condition share its cached rows and are fitted side by side,
+    so a model's seconds hold time in which it waited for the others.
+
     ``labels`` is long: ``(id, target, label_source, label)``.
     """
     experiments = labels.select("target", "label_source").distinct().orderBy("target", "label_source")
@@ -210,10 +214,16 @@ def run_grid(
     for target, source in collect_bounded(experiments, 1000, "experiments"):
         mine = labels.filter((F.col("target") == target) & (F.col("label_source") == source))
         prepared = prepare(features, mine, id=id, balanced=balanced)
-        for kind, params in models.items():
-            trained.append(fit_one(prepared, kind, target=target, label_source=source, balanced=balanced,
-                                   params=params, seed=seed))
-        prepared.data.unpersist()
+
+        def fit(kind: str) -> Trained:
+            return fit_one(prepared, kind, target=target, label_source=source, balanced=balanced,
+                           params=models[kind], seed=seed)
+
+        try:
+            with ThreadPoolExecutor(max(1, min(PARALLEL_FITS, len(models)))) as pool:
+                trained += pool.map(fit, models)
+        finally:
+            prepared.data.unpersist()
     return trained
 
 

@@ -28,7 +28,10 @@ SIMILARITY = 0.8
 WIDE_WORDS = 16  # 64-bit words of a wide fingerprint, which are cut into Golay words of 23 bits
 TABLES = 192  # pairs of Golay words that are keys
 WORD_BITS = 20  # bits of 64 that differ at most between candidates; at a similarity of 0.8 about 8 do
-PAIRED_BUCKET = 16  # members of larger buckets are compared with the bucket's leader and split by one more Golay word
+PAIRED_BUCKET = 16  # members of larger buckets form families, which are compared whole in tiles
+TILE_BYTES = 4 << 20  # shingles of the members of a family that form one tile
+TILE_ROWS = 512  # rows of a tile that are multiplied together
+TILE_COLUMNS = 4096  # shingles that are multiplied together
 
 
 def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -236,20 +239,19 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes)).view(np.uint64)
 
 
-def wide_keys(prints: np.ndarray, tables: GolayTables) -> tuple[np.ndarray, np.ndarray]:
-    """``TABLES`` bucket keys for each row of wide fingerprints, and as many codewords that split crowded buckets.
+def wide_keys(prints: np.ndarray, tables: GolayTables) -> np.ndarray:
+    """``TABLES`` bucket keys for each row of wide fingerprints.
 
-    A key holds the nearest codewords of two Golay words, a split that of a
-    third; the words are a fixed draw.  Similar texts differ in few bits
-    everywhere, so some of the pairs decode alike.
+    A key holds the nearest codewords of two Golay words; the pairs of words are
+    a fixed draw.  Similar texts differ in few bits everywhere, so some of the
+    pairs decode alike.
     """
     bits = np.unpackbits(prints.view(np.uint8), axis=1)
     number = bits.shape[1] // 23
     words = bits[:, : number * 23].reshape(len(bits), number, 23).astype(np.int64) @ (1 << np.arange(23))
     codes = golay_keys(words.reshape(-1), tables)[:, 0].reshape(len(bits), number)
     pairs = np.array(random.Random(SEED).sample(list(itertools.combinations(range(number), 2)), TABLES))
-    third = np.array([next(k for k in range(a + b, a + b + 3) if k % number not in (a, b)) % number for a, b in pairs.tolist()])
-    return np.arange(TABLES) << 24 | codes[:, pairs[:, 0]] << 12 | codes[:, pairs[:, 1]], codes[:, third]
+    return np.arange(TABLES) << 24 | codes[:, pairs[:, 0]] << 12 | codes[:, pairs[:, 1]]
 
 
 def _wide_prints(keys: DataFrame) -> DataFrame:
@@ -272,7 +274,7 @@ def _wide_prints(keys: DataFrame) -> DataFrame:
 
 
 def _wide_buckets(prints: DataFrame) -> DataFrame:
-    """key, split, node and the first 64 bits of the fingerprint, ``TABLES`` rows for each of ``prints`` (node, fp)."""
+    """key, node and the first 64 bits of the fingerprint, ``TABLES`` rows for each of ``prints`` (node, fp)."""
     tables = golay_tables()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,72 +282,67 @@ def _wide_buckets(prints: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
                 fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
-                keys, splits = wide_keys(fp, tables)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1)), pa.array(splits.reshape(-1)), pa.array(np.repeat(part.column("node").to_numpy(), TABLES)),
+                    [pa.array(wide_keys(fp, tables).reshape(-1)), pa.array(np.repeat(part.column("node").to_numpy(), TABLES)),
                      pa.array(np.repeat(fp[:, 0].view(np.int64), TABLES))],
-                    names=["key", "split", "node", "word"],
+                    names=["key", "node", "word"],
                 )
 
-    return prints.select("node", "fp").mapInArrow(run, "key long, split long, node long, word long")
+    return prints.select("node", "fp").mapInArrow(run, "key long, node long, word long")
 
 
 def _near(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def _bucket_pairs(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Near pairs (a, b) within the buckets of ``members`` (bucket, node, word, n, rank), and (a, b, bits) with the leaders.
+def _bucket_pairs(members: DataFrame) -> DataFrame:
+    """Near pairs (a, b) within the buckets of ``members`` (key, node, word, n) of up to ``PAIRED_BUCKET`` nodes."""
+    small = members.where(F.col("n") <= PAIRED_BUCKET).select("key", "node", "word")
+    other = small.select("key", F.col("node").alias("b"), F.col("word").alias("b_word"))
+    pairs = small.join(other, "key").where((F.col("node") < F.col("b")) & (_near("word", "b_word") <= WORD_BITS))
+    return pairs.select(F.col("node").alias("a"), "b")
 
-    Buckets up to ``PAIRED_BUCKET`` nodes give all pairs.  The leader of a
-    larger one is its node with the highest rank: a row for each member,
-    whatever the size.
+
+def _bucket_stars(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (a, b, bits) of nodes near the leaders of larger buckets, and (a, b) that tie the nodes of a bucket together.
+
+    A node's rank is the number of nodes it meets in all these buckets: a text
+    with many near copies meets more of them than a copy does, so it leads the
+    buckets they share.  Each member gives a row, whatever the size.
     """
-    small = members.where(F.col("n") <= PAIRED_BUCKET).select("bucket", "node", "word")
-    other = small.select("bucket", F.col("node").alias("b"), F.col("word").alias("b_word"))
-    pairs = small.join(other, "bucket").where((F.col("node") < F.col("b")) & (_near("word", "b_word") <= WORD_BITS))
     large = members.where(F.col("n") > PAIRED_BUCKET)
-    leaders = large.groupBy("bucket").agg(F.max(F.struct("rank", "node", "word")).alias("l")).select(
-        "bucket", F.col("l.node").alias("leader"), F.col("l.word").alias("leader_word")
+    ranks = materialize(large.groupBy("node").agg(F.sum("n").alias("rank")), "similar-ranks")
+    best = F.max(F.struct("rank", "node", "word"))
+    leaders = large.join(ranks, "node").groupBy("key").agg(best.alias("l")).select(
+        "key", F.col("l.node").alias("a"), F.col("l.word").alias("a_word")
+    )
+    ties = large.join(materialize(leaders, "similar-leaders"), "key").where("node <> a").select(
+        "a", F.col("node").alias("b"), _near("word", "a_word").alias("bits")
     )
-    stars = large.join(materialize(leaders, f"{name}-leaders"), "bucket").where("node <> leader").withColumn(
-        "bits", _near("word", "leader_word")
-    ).where(F.col("bits") <= WORD_BITS)
-    return pairs.select(F.col("node").alias("a"), "b"), stars.select(F.col("leader").alias("a"), F.col("node").alias("b"), "bits")
+    ties = materialize(ties.distinct(), "similar-ties")
+    return ties.where(F.col("bits") <= WORD_BITS), ties.select("a", "b")
 
 
-def similar_candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of distinct nodes that share a bucket, and (a, b, bits) of nodes with the leaders of crowded ones.
+def similar_candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (a, b) of distinct nodes that share a bucket, (a, b, bits) of nodes with leaders, (node, family) of crowded ones.
 
-    Both are near in one word of their fingerprints.  A node's rank is the
-    number of nodes it meets in all its buckets: a text with many near copies
-    meets more of them than a copy does, so it leads the buckets they share.
-    Crowded buckets are also split by one more codeword, and the parts treated
-    alike, so that texts that are near each other but not near the leader meet.
+    Nodes of a bucket of more than ``PAIRED_BUCKET`` nodes belong to one family,
+    and so do families that share a node: all nodes of a crowded bucket meet in
+    their family.  Pairs are near in one word of their fingerprints.
     """
     # Each fingerprint becomes TABLES rows, so small tasks bound the memory.
     tasks = 4 * max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.rdd.getNumPartitions())
     buckets = _wide_buckets(prints.select("node", "fp").repartition(tasks, "node"))
     shared = materialize(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "similar-shared")
     members = materialize(buckets.join(shared, "key"), "similar-members")
-    ranks = materialize(
-        members.where(F.col("n") > PAIRED_BUCKET).groupBy("node").agg(F.sum("n").alias("rank")), "similar-ranks"
-    )
-    ranked = members.join(ranks, "node", "left")
-    pairs, stars = _bucket_pairs(ranked.withColumnRenamed("key", "bucket"), "similar-buckets")
-    crowded = materialize(
-        ranked.where(F.col("n") > PAIRED_BUCKET).select((F.col("key") * 4096 + F.col("split")).alias("bucket"), "node", "word", "rank"),
-        "similar-crowded",
-    )
-    parts = materialize(crowded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "similar-parts")
-    finer, finer_stars = _bucket_pairs(crowded.join(parts, "bucket"), "similar-split")
-    return pairs.union(finer), stars.union(finer_stars)
+    stars, ties = _bucket_stars(members)
+    families = components(ties, "similar-families").withColumnRenamed("root", "family")
+    return _bucket_pairs(members), stars, families
 
 
-def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The ``pairs`` whose texts share ``similarity`` of their shingles, compared whole."""
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "similar-nodes")
-    wanted = firsts.join(ends, "node", "left_semi").select("node", F.col("first.row_key").alias("row_key"))
+def _shingle_sets(keys: DataFrame, nodes: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
+    """node and its sorted distinct shingles as bytes, of the ``nodes`` (node)."""
+    wanted = firsts.join(nodes, "node", "left_semi").select("node", F.col("first.row_key").alias("row_key"))
     texts = keys.select("row_key", "text").join(materialize(wanted, "similar-wanted"), "row_key")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +354,13 @@ def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: i
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     sets = materialize(texts.select("node", "text").mapInArrow(shingles, "node long, shingles binary"), "similar-sets")
-    sets = sets.dropDuplicates(["node"])  # rows equal in identifier and text
+    return sets.dropDuplicates(["node"])  # rows equal in identifier and text
+
+
+def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The ``pairs`` whose texts share ``similarity`` of their shingles, compared whole."""
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "similar-nodes")
+    sets = _shingle_sets(keys, ends, firsts, size)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,25 +376,125 @@ def _similar_links(keys: DataFrame, pairs: DataFrame, firsts: DataFrame, size: i
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of elements that each set of ``left`` shares with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate(side) for side in (left, right)]
+    rows = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
+    both = np.intersect1d(*flat)
+    if not len(both):
+        return out
+    cells = []
+    for row, values in zip(rows, flat):
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        hit = both[at] == values
+        cells.append((row[hit], at[hit]))
+    for start in range(0, len(both), TILE_COLUMNS):
+        parts = []
+        for (row, at), side in zip(cells, (left, right)):
+            mine = (at >= start) & (at < start + TILE_COLUMNS)
+            part = np.zeros((len(side), min(TILE_COLUMNS, len(both) - start)), np.float32)
+            part[row[mine], at[mine] - start] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def tile_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) between parts among the rows of two tiles, or of one: a spanning forest of all there are.
+
+    Rows are (node, part, tile, shingles); rows of one part are linked already.
+    Pairs of sets are counted as products of matrices, a block of rows at a
+    time; blocks whose lengths exclude a link or that lie in one part are skipped.
+    """
+    nodes, tiles = table.column("node").to_numpy(), table.column("tile").to_numpy()
+    parts = np.unique(table.column("part").to_numpy(), return_inverse=True)[1]
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def cut(tile: int) -> list[np.ndarray]:
+        mine = np.flatnonzero(tiles == tile)
+        mine = mine[np.lexsort((parts[mine], sizes[mine]))]
+        return [mine[k : k + TILE_ROWS] for k in range(0, len(mine), TILE_ROWS)]
+
+    ends = np.unique(tiles)
+    left, right = cut(ends[0]), cut(ends[-1])
+    found = []
+    for x, a in enumerate(left):
+        for y, b in enumerate(right):
+            if len(ends) == 1 and y < x:
+                continue
+            if sizes[a[-1]] < similarity * sizes[b[0]] or sizes[b[-1]] < similarity * sizes[a[0]]:
+                continue
+            if parts[a[0]] == parts[b[0]] and (parts[a] == parts[a[0]]).all() and (parts[b] == parts[a[0]]).all():
+                continue
+            both = _shared([sets[k] for k in a], [sets[k] for k in b]).astype(np.float64)
+            alike = both >= similarity * (sizes[a][:, None] + sizes[b] - both)
+            i, j = np.nonzero(alike & (parts[a][:, None] != parts[b]))
+            _, first = np.unique(parts[a[i]] * len(sets) + parts[b[j]], return_index=True)
+            for one, two in zip(a[i[first]].tolist(), b[j[first]].tolist()):
+                p, q = find(parts[one]), find(parts[two])
+                if p != q:
+                    root[p] = q
+                    found.append((one, two))
+    chosen = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": nodes[chosen[:, 0]], "b": nodes[chosen[:, 1]]})
+
+
+def _family_links(keys: DataFrame, members: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) that join the parts of each family, of ``members`` (node, family, part).
+
+    All texts of a family are compared whole.  A family is dealt over tiles by a
+    hash; a task compares two tiles and gives fewer links than it has rows, so
+    rows grow with the members times the tiles and never with the pairs.
+    """
+    open_ones = members.groupBy("family").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
+    members = materialize(members.join(open_ones.select("family"), "family", "left_semi"), "similar-open")
+    sets = materialize(_shingle_sets(keys, members.select("node"), firsts, size).join(members, "node"), "similar-family-sets")
+    weights = sets.groupBy("family").agg(F.ceil(F.sum(F.length("shingles")) / TILE_BYTES).cast("int").alias("tiles"))
+    dealt = sets.join(materialize(weights, "similar-family-tiles"), "family").withColumn(
+        "tiles", F.greatest("tiles", F.lit(1))
+    ).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "family", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"),
+        "node", "part", "tile", "shingles",
+    )
+
+    def links(table: pa.Table) -> pa.Table:
+        return tile_links(table, similarity)
+
+    return paired.groupBy("family", "one", "two").applyInArrow(links, "a long, b long")
+
+
 def similar_groups(keys: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
     """node and root of every node that is linked to another.
 
     First every node of a crowded bucket is compared with the nearest of its
     leaders, one pair for each node.  Most of a large group is one component
-    after that; of all other candidates only pairs across components are left
-    to compare, since a link within one changes nothing.
+    after that; families that are not yet one are compared whole, and of the
+    pairs of small buckets those across families, since a link within a
+    component changes nothing.
     """
-    pairs, stars = (materialize(x, "similar-pairs") for x in similar_candidates(firsts))
+    pairs, stars, families = (materialize(x, "similar-pairs") for x in similar_candidates(firsts))
     nearest = stars.groupBy("b").agg(F.min(F.struct("bits", "a")).alias("l")).select(F.col("l.a").alias("a"), "b")
     nodes = firsts.select("node", "first")
     linked = materialize(_similar_links(keys, materialize(nearest, "similar-nearest"), nodes, size, similarity), "similar-linked")
-    found = materialize(components(linked, "similar-near"), "similar-found")
-    rest = pairs.union(stars.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = components(linked, "similar-near").select("node", F.col("root").alias("part"))
+    members = families.join(found, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    within = _family_links(keys, materialize(members, "similar-members"), nodes, size, similarity)
+    rest = pairs.distinct()
     for end in ("a", "b"):
-        rest = rest.join(found.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
-    rest = rest.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+        rest = rest.join(families.select(F.col("node").alias(end), F.col("family").alias(f"{end}_family")), end, "left")
+    rest = rest.where(F.coalesce("a_family", "a") != F.coalesce("b_family", "b")).select("a", "b")
     more = _similar_links(keys, materialize(rest, "similar-rest"), nodes, size, similarity)
-    return components(linked.union(more), "similar")
+    return components(linked.union(within).union(more), "similar")
 
 
 def keep_one_per_similar(

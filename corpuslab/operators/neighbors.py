@@ -39,6 +39,8 @@ MAX_PIVOTS = 1024
 MAX_BLOCKS = 200_000
 MAX_TILE_ROWS = 262_144  # distinct vectors in a tile; beyond it tiles stay this large and their number grows
 
+CANDIDATE_ROWS = 32_768  # candidates of a tile that are multiplied at once: what a task holds beside its tiles
+
 
 # Kernels that run inside tasks -------------------------------------------------
 
@@ -66,7 +68,7 @@ def _best_in_block(k: int, schema: pa.Schema):
         take = min(k, nc)
         low_id_first = nc - 1 - np.arange(nc, dtype=np.int64)
         rows, cols, sims, scores = [], [], [], []
-        step = max(1, 4_000_000 // nc)  # bounds the similarity matrix held at once
+        step = max(1, 1_000_000 // nc)  # bounds the similarity matrix held at once
         for start in range(0, nq, step):
             sim = q[start:start + step] @ c.T
             score = np.rint(sim * scale).astype(np.int64)
@@ -238,23 +240,38 @@ def _tile_pairs(shared, blocks: int, k: int, spark) -> DataFrame:
 
 
 def _best_in_tiles(shared, k: int, schema: pa.Schema):
-    """The block kernel for every query block of one tile and its useful candidates in another."""
+    """The block kernel for every query block of one tile and its useful candidates in another, some blocks at a time."""
     best = _best_in_block(k, schema)
 
     def run(rows: pa.Table) -> pa.Table:
         table, centres = shared.value
         targets = _useful_pairs(table, centres, k)
         position = {b: i for i, b in enumerate(table["block"])}
-        queries, candidates = rows.filter(pc.field("role") == 0), rows.filter(pc.field("role") == 1)
+        roles, blocks = rows["role"].to_numpy(), rows["block"].to_numpy()
         found = [schema.empty_table()]
-        for block in queries["block"].unique().to_pylist():
-            useful = candidates.filter(pc.is_in(candidates["block"], pa.array(targets(position[block]), pa.int64())))
-            found.append(best(pa.concat_tables([queries.filter(pc.field("block") == block), useful])))
+        for block in np.unique(blocks[roles == 0]):
+            asked = rows.take(np.flatnonzero((roles == 0) & (blocks == block)))
+            useful = np.flatnonzero((roles == 1) & np.isin(blocks, targets(position[block])))
+            parts = [
+                best(pa.concat_tables([asked, rows.take(useful[at : at + CANDIDATE_ROWS])]))
+                for at in range(0, len(useful), CANDIDATE_ROWS)
+            ]
+            found.extend(parts if len(parts) < 2 else [_best_rows(pa.concat_tables(parts), k)])
         return pa.concat_tables(found)
 
     return run
 
 
+def _best_rows(hits: pa.Table, k: int) -> pa.Table:
+    """The best k hits of each query, ranked as in :func:`_best_groups`."""
+    query = hits["gid"].combine_chunks().dictionary_encode().indices
+    keys = pa.table({"query": query, "score": hits["score"], "first": pc.list_element(hits["members"], 0)})
+    order = pc.sort_indices(keys, [("query", "ascending"), ("score", "descending"), ("first", "ascending")]).to_numpy()
+    ordered = query.to_numpy()[order]
+    rank = np.arange(len(order)) - np.searchsorted(ordered, ordered)
+    return hits.take(order[rank < k])
+
+
 def _tile_rows(asked: DataFrame, vectors: DataFrame, pairs: DataFrame) -> DataFrame:
     """Vectors with both tiles of every task that needs them: ``role`` 0 asks, ``role`` 1 is a candidate."""
     left = asked.join(pairs.select(F.col("qb").alias("block"), "qt", "ct").distinct(), "block").withColumn("role", F.lit(0))

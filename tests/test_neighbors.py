@@ -123,3 +123,16 @@ def test_tiles_copy_each_vector_at_most_sqrt_of_blocks_times(spark, monkeypatch)
 
 def test_tile_sizes():
     assert [nb._tile_sizes(b, 4096) for b in (1, 2, 30, 900, 10**6)] == [2, 3, 7, 31, 64]
+
+
+def test_candidates_in_pieces_give_the_same_neighbours(spark, monkeypatch):
+    random = np.random.default_rng(9)
+    rows = [(k, [float(x) for x in random.integers(-2, 3, 3) + 0.5]) for k in range(400)]  # many ties
+    df = spark.createDataFrame(rows, ["id", "v"])
+
+    def found():
+        return sorted(map(tuple, nb.knn(df, "id", "v", 5, block_rows=8).collect()), key=str)
+
+    whole = found()
+    monkeypatch.setattr(nb, "CANDIDATE_ROWS", 5)
+    assert found() == whole and len(whole) == 2000

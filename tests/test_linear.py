@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
 from corpuslab.operators.linear import LinearOneVsRest, LinearOneVsRestModel
-from corpuslab.operators.passes import MAX_NUMBERS, SLICE, sum_pass
+from corpuslab.operators.passes import MAX_NUMBERS, SLICE, Block, blocks, sum_pass
 from corpuslab.session import scratch_path
 
 
@@ -104,3 +105,18 @@ def test_sums_are_the_same_with_and_without_a_shuffle(spark):
     assert np.array_equal(sum_pass(df, 131, size, add, direct=10**9), want)
     with pytest.raises(ValueError, match="above the bound"):
         sum_pass(df, 131, MAX_NUMBERS + 1, add)
+
+
+def test_products_with_sparse_rows_need_one_number_per_entry():
+    """The product is taken class by class, so an entry never becomes a row of numbers."""
+    random = np.random.default_rng(8)
+    index, value, counts = random.integers(0, 9, 12), random.random(12), np.array([5, 0, 7])
+    block, weights = Block(index, value, counts), random.random((9, 3))
+    dense = np.zeros((3, 9))
+    np.add.at(dense, (np.repeat(np.arange(3), counts), index), value)
+    assert np.allclose(block.times(weights), dense @ weights)
+    assert block.by_row(value).shape == (3,)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([[0], [1], [2]], pa.list_(pa.int32())), pa.array([[1.0], [2.0], [3.0]])], names=["_index", "_value"]
+    )
+    assert [b.n for _, b in blocks(batch, entries=1)] == [1, 1, 1] and [b.n for _, b in blocks(batch)] == [3]

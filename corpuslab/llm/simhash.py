@@ -296,10 +296,13 @@ def _near(a: str, b: str) -> Column:
 
 
 def _bucket_pairs(members: DataFrame) -> DataFrame:
-    """Near pairs (a, b) within the buckets of ``members`` (key, node, word, n) of up to ``PAIRED_BUCKET`` nodes."""
-    small = members.where(F.col("n") <= PAIRED_BUCKET).select("key", "node", "word")
-    other = small.select("key", F.col("node").alias("b"), F.col("word").alias("b_word"))
-    pairs = small.join(other, "key").where((F.col("node") < F.col("b")) & (_near("word", "b_word") <= WORD_BITS))
+    """Near pairs (a, b) across families within the buckets of ``members`` (key, node, word, n, family) of up to
+    ``PAIRED_BUCKET`` nodes; those of one family meet there."""
+    small = members.where(F.col("n") <= PAIRED_BUCKET).select("key", "node", "word", F.coalesce("family", "node").alias("family"))
+    other = small.select("key", F.col("node").alias("b"), F.col("word").alias("b_word"), F.col("family").alias("b_family"))
+    pairs = small.join(other, "key").where(
+        (F.col("node") < F.col("b")) & (F.col("family") != F.col("b_family")) & (_near("word", "b_word") <= WORD_BITS)
+    )
     return pairs.select(F.col("node").alias("a"), "b")
 
 
@@ -328,7 +331,7 @@ def similar_candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
 
     Nodes of a bucket of more than ``PAIRED_BUCKET`` nodes belong to one family,
     and so do families that share a node: all nodes of a crowded bucket meet in
-    their family.  Pairs are near in one word of their fingerprints.
+    their family.  Pairs join two families and are near in one word of their fingerprints.
     """
     # Each fingerprint becomes TABLES rows, so small tasks bound the memory.
     tasks = 4 * max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.rdd.getNumPartitions())
@@ -336,8 +339,8 @@ def similar_candidates(prints: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     shared = materialize(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "similar-shared")
     members = materialize(buckets.join(shared, "key"), "similar-members")
     stars, ties = _bucket_stars(members)
-    families = components(ties, "similar-families").withColumnRenamed("root", "family")
-    return _bucket_pairs(members), stars, families
+    families = materialize(components(ties, "similar-families").withColumnRenamed("root", "family"), "similar-families")
+    return _bucket_pairs(members.join(families, "node", "left")), stars, families
 
 
 def _shingle_sets(keys: DataFrame, nodes: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
@@ -489,11 +492,7 @@ def similar_groups(keys: DataFrame, firsts: DataFrame, size: int, similarity: fl
     found = components(linked, "similar-near").select("node", F.col("root").alias("part"))
     members = families.join(found, "node", "left").withColumn("part", F.coalesce("part", "node"))
     within = _family_links(keys, materialize(members, "similar-members"), nodes, size, similarity)
-    rest = pairs.distinct()
-    for end in ("a", "b"):
-        rest = rest.join(families.select(F.col("node").alias(end), F.col("family").alias(f"{end}_family")), end, "left")
-    rest = rest.where(F.coalesce("a_family", "a") != F.coalesce("b_family", "b")).select("a", "b")
-    more = _similar_links(keys, materialize(rest, "similar-rest"), nodes, size, similarity)
+    more = _similar_links(keys, materialize(pairs.distinct(), "similar-rest"), nodes, size, similarity)
     return components(linked.union(within).union(more), "similar")
 
 

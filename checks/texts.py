@@ -11,7 +11,7 @@ from corpuslab.functions.labels import decode, encode, label_domain
 from corpuslab.operators import features as ft
 from corpuslab.operators.encoding import content_digest
 from corpuslab.plans.studies import nb_study
-from corpuslab.session import materialize, scratch_path, spread
+from corpuslab.session import deal, materialize, scratch_path, spread
 from corpuslab.sources.tables import read_table, write_table, write_verified
 
 STOP = ["the", "and", "la", "de", "le", "und"]
@@ -54,12 +54,12 @@ def _docs(spark, d):
 
 
 def token_counts(spark, d):
-    return ft.token_counts(ft.tokenize(_docs(spark, d), "text"), "doc_id")
+    return ft.token_counts(ft.tokenize(deal(_docs(spark, d), "doc_id"), "text"), "doc_id")
 
 
 def token_ngrams(spark, d):
     """Words and word pairs; a pair may span a removed stop word."""
-    tokens = ft.tokenize(_docs(spark, d), "text", stop=STOP, ngrams=(1, 2))
+    tokens = ft.tokenize(deal(_docs(spark, d), "doc_id"), "text", stop=STOP, ngrams=(1, 2))
     return ft.token_counts(tokens, "doc_id").groupBy("term").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs")
     )

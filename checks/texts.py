@@ -78,7 +78,8 @@ def vocabulary(spark, d):
 def tfidf_long(spark, d):
     tokens = ft.tokenize(_docs(spark, d), "text")
     model = materialize(ft.tfidf_fit(tokens), "vocabulary")
-    weights = ft.tfidf_transform(tokens, "doc_id", model)
+    dealt = ft.tokenize(deal(_docs(spark, d), "doc_id"), "text")
+    weights = ft.tfidf_transform(dealt, "doc_id", model)
     return weights.select("doc_id", "term_idx", F.round("weight", 6).alias("weight"))
 
 

@@ -40,6 +40,8 @@ MAX_BLOCKS = 200_000
 MAX_TILE_ROWS = 262_144  # distinct vectors in a tile; beyond it tiles stay this large and their number grows
 
 CANDIDATE_ROWS = 32_768  # candidates of a tile that are multiplied at once: what a task holds beside its tiles
+HEAD = 1024  # candidates whose best ones bound the others
+ASKED_ROWS = 32_768  # rows of a tile that one task asks for, about; more are dealt over several tasks
 
 
 # Kernels that run inside tasks -------------------------------------------------
@@ -55,7 +57,6 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _best_in_block(k: int, schema: pa.Schema):
     scale = 10**DIGITS
-    nothing = np.iinfo(np.int64).min
 
     def run(table: pa.Table) -> pa.Table:
         queries = table.filter(pc.field("role") == 0)
@@ -66,24 +67,25 @@ def _best_in_block(k: int, schema: pa.Schema):
         q, c = _matrix(queries["vec"]), _matrix(candidates["vec"])
         own = pd.Index(candidates["gid"].to_pandas()).get_indexer(queries["gid"].to_pandas())
         take = min(k, nc)
-        low_id_first = nc - 1 - np.arange(nc, dtype=np.int64)
+        head = min(nc, max(take, HEAD))
         rows, cols, sims, scores = [], [], [], []
         step = max(1, 1_000_000 // nc)  # bounds the similarity matrix held at once
         for start in range(0, nq, step):
             sim = q[start:start + step] @ c.T
-            score = np.rint(sim * scale).astype(np.int64)
-            key = score * nc + low_id_first
             here = own[start:start + step]
             mine = np.flatnonzero(here >= 0)
-            key[mine, here[mine]] = nothing
-            top = np.argpartition(key, nc - take, axis=1)[:, nc - take:]
-            kept = np.take_along_axis(key, top, 1) != nothing
-            r, j = np.nonzero(kept)
-            col = top[r, j]
-            rows.append(r + start)
-            cols.append(col)
-            sims.append(sim[r, col])
-            scores.append(score[r, col])
+            sim[mine, here[mine]] = -np.inf
+            # The k best of the first candidates: less similar ones, but for ties after rounding, are none of the k best.
+            least = np.partition(sim[:, :head], head - take, axis=1)[:, head - take]
+            r, col = np.nonzero(sim >= (np.maximum(least, -2.0) - 2 / scale)[:, None])
+            found = sim[r, col]
+            score = np.rint(found * scale).astype(np.int64)
+            order = np.lexsort((col, -score, r))  # candidates are in id order
+            order = order[np.arange(len(r)) - np.searchsorted(r, r) < take]
+            rows.append(r[order] + start)
+            cols.append(col[order])
+            sims.append(found[order])
+            scores.append(score[order])
         hit = candidates["members"].take(pa.array(np.concatenate(cols)))
         return pa.table(
             [
@@ -279,6 +281,12 @@ def _tile_rows(asked: DataFrame, vectors: DataFrame, pairs: DataFrame) -> DataFr
     return left.unionByName(right)
 
 
+def _with_part(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows of :func:`_tile_rows` in ``parts`` parts of a task: a row asks in one of them and is a candidate in all."""
+    mine = F.array(F.pmod(F.xxhash64("gid", F.lit("part")), F.lit(parts)).cast("int"))
+    return rows.withColumn("part", F.explode(F.when(F.col("role") == 0, mine).otherwise(F.sequence(F.lit(0), F.lit(parts - 1)))))
+
+
 def _exact_hits(
     groups: DataFrame, n: int, k: int, block_rows: int, queries: DataFrame | None = None
 ) -> DataFrame:
@@ -317,7 +325,11 @@ def _exact_hits(
     schema = _hit_schema(groups)
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    hits = _tile_rows(asked, vectors, pairs).groupBy("qt", "ct").applyInArrow(_best_in_tiles(shared, k, to_arrow_schema(schema)), schema)
+    counts = np.array([chunks[c] for c in found["cell"]])
+    rows = np.array([sizes[c] for c in found["cell"]]) / counts
+    parts = math.ceil(np.bincount(found["tile"], rows).max() / ASKED_ROWS)
+    tasks = _with_part(_tile_rows(asked, vectors, pairs), parts).groupBy("qt", "ct", "part")
+    hits = tasks.applyInArrow(_best_in_tiles(shared, k, to_arrow_schema(schema)), schema)
     return _best_groups(hits, k)
 
 
@@ -393,6 +405,7 @@ def knn(
         raise ValueError("k must be positive")
     if method not in ("exact", "lsh"):
         raise ValueError(f"unknown method: {method}")
+    block_rows = min(block_rows, MAX_TILE_ROWS)  # a task holds whole blocks
     groups = materialize(_vector_groups(df, id, vec, k), "knn-groups")
     size = groups.agg(F.count(F.lit(1)), F.max("n")).first()
     n, largest = size[0], size[1] or 0

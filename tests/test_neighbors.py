@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpuslab.operators import neighbors as nb
@@ -136,3 +137,31 @@ def test_candidates_in_pieces_give_the_same_neighbours(spark, monkeypatch):
     whole = found()
     monkeypatch.setattr(nb, "CANDIDATE_ROWS", 5)
     assert found() == whole and len(whole) == 2000
+
+
+def test_best_candidates_beyond_the_first_and_ties(monkeypatch):
+    monkeypatch.setattr(nb, "HEAD", 4)
+    random = np.random.default_rng(8)
+    vectors = np.round(random.standard_normal((60, 2)), 1) + 0.05  # many nearly equal directions
+    table = pa.table({
+        "gid": pa.array([*range(60)] * 2, pa.int64()), "vec": pa.array([*vectors.tolist()] * 2),
+        "members": pa.array([[g] for g in range(60)] * 2, pa.list_(pa.int64())), "role": pa.array([0] * 60 + [1] * 60),
+    })
+    schema = pa.schema([("gid", pa.int64()), ("members", pa.list_(pa.int64())), ("score", pa.int64()), ("sim", pa.float64())])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = np.rint(unit @ unit.T * 1e6).astype(int)
+    want = {g: sorted((-scores[g, c], c) for c in range(60) if c != g)[:5] for g in range(60)}
+    got = {}
+    for r in nb._best_in_block(5, schema)(table).to_pylist():
+        got.setdefault(r["gid"], []).append((-r["score"], r["members"][0]))
+    assert {g: sorted(v) for g, v in got.items()} == want
+
+
+def test_rows_of_a_tile_ask_in_several_tasks(spark, monkeypatch):
+    random = np.random.default_rng(9)
+    rows = [(k, random.standard_normal(6).tolist()) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    want = sorted(map(tuple, nb.knn(df, "id", "v", 4).select("id", "rank", "neighbor_id").collect()))
+    monkeypatch.setattr(nb, "ASKED_ROWS", 30)
+    monkeypatch.setattr(nb, "MAX_TILE_ROWS", 128)
+    assert sorted(map(tuple, nb.knn(df, "id", "v", 4, block_rows=300).select("id", "rank", "neighbor_id").collect())) == want

@@ -181,7 +181,8 @@ def stream_label(spark, d):
     """Documents arrive as a stream of files and are labelled into the audit."""
     inbox, log = scratch_path(spark, "inbox"), AuditLog(spark, scratch_path(spark, "audit"))
     docs = articles(spark, d)
-    docs.repartition(3, "id").write.parquet(inbox)
+    files = max(3, table(spark, d, "documents").rdd.getNumPartitions())  # as many as the scan has splits, so that no task takes a fixed share of all
+    docs.repartition(files, "id").write.parquet(inbox)
     docs.filter(F.col("category") == "fr").write.mode("append").parquet(inbox)  # delivered twice
     stream = spark.readStream.schema(docs.schema).parquet(inbox)
     query = label_stream(stream, _label_articles, log, scratch_path(spark, "stream"))

@@ -35,6 +35,14 @@ def test_every_kind_learns_a_separable_target(spark, data):
     assert summary.count() == len(SMALL) and summary.first()["classes"] == ["a", "b", "c"]
 
 
+def test_few_rows_lie_in_few_partitions(spark, data):
+    features, labels = data
+    cores = spark.sparkContext.defaultParallelism
+    few = cl.prepare(features.repartition(8 * cores, "id"), labels)
+    assert few.data.rdd.getNumPartitions() <= cores and few.n_rows == few.data.count() == 60
+    few.data.unpersist()
+
+
 def test_registry_round_trip(spark, data):
     features, labels = data
     root = scratch_path(spark, "models")

@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,7 +63,11 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 _ANSWER = "content string, model string, prompt_tokens int, response_tokens int, seconds double, failure string"
-_ANSWER_FIELDS = ["content", "model", "prompt_tokens", "response_tokens", "seconds", "failure"]
+_ANSWER_TYPE = pa.struct([
+    ("content", pa.string()), ("model", pa.string()), ("prompt_tokens", pa.int32()), ("response_tokens", pa.int32()),
+    ("seconds", pa.float64()), ("failure", pa.string()),
+])
+ASKED_BYTES = 1 << 20  # bytes of prompts that a labeler is asked at once, one prompt at least
 
 
 def _answers(labeler: Labeler, prompts: list[str]) -> list[tuple]:
@@ -83,26 +89,35 @@ def _answers(labeler: Labeler, prompts: list[str]) -> list[tuple]:
     return rows
 
 
+def _parts(prompts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about ``ASKED_BYTES``, so that a batch of long texts is never held as Python texts at once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(prompts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // ASKED_BYTES)) + 1).tolist(), len(prompts)]
+    return (prompts.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
 def _ask(make_labeler: Callable[[], Labeler]):
     """Arrow function from prompt to answer; null prompts are not sent.
 
-    Only the prompt column leaves the JVM.  Declared nondeterministic so that
+    Only the prompt column leaves the JVM.  A task holds its Arrow batch and the
+    texts of one slice of it.  Declared nondeterministic so that
     the optimizer never evaluates a request twice.
     """
 
-    @F.pandas_udf(_ANSWER)
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_ANSWER)
+    def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeler = None
         for prompts in batches:
-            out = pd.DataFrame([(None,) * 6] * len(prompts), columns=_ANSWER_FIELDS, dtype=object)
-            wanted = prompts[prompts.notna()]
-            if len(wanted):
-                if labeler is None:
+            parts = []
+            for some in _parts(prompts):
+                wanted = [p for p in some.to_pylist() if p is not None]
+                if wanted and labeler is None:
                     labeler = make_labeler()  # once per worker task
-                out.loc[wanted.index, :] = pd.DataFrame(
-                    _answers(labeler, list(wanted)), columns=_ANSWER_FIELDS, index=wanted.index, dtype=object
-                )
-            yield out
+                found = iter(_answers(labeler, wanted)) if wanted else iter(())
+                known = some.is_valid().to_pylist()
+                rows = [dict(zip(_ANSWER_TYPE.names, next(found) if k else (None,) * 6)) for k in known]
+                parts.append(pa.array(rows, _ANSWER_TYPE))
+            yield pa.concat_arrays(parts) if parts else pa.array([], _ANSWER_TYPE)
 
     return ask.asNondeterministic()
 

@@ -108,6 +108,25 @@ def test_a_batch_reads_its_folders_and_three_columns_of_the_audit(spark, tmp_pat
     assert [r["id"] for r in AuditLog(spark, old).pending(batch).collect()] == [1000]
 
 
+class Weighing(Scripted):
+    """Tells with every answer how much text it was asked at once."""
+
+    def __call__(self, texts):
+        answer = json.dumps({"category": "sport"} if texts[0].startswith("C") else {"section": "Golf"})
+        return [lb.Response(answer, "m1", sum(len(t.encode()) for t in texts), len(texts)) for _ in texts]
+
+
+def test_long_texts_are_asked_in_parts(spark):
+    text = F.when(F.col("id") % 7 == 0, "").otherwise(F.repeat(F.lit("é"), 25_000))
+    rows = spark.range(0, 150, 1, 1).select("id", *[F.lit("").alias(c) for c in ("headline", "description")], text.alias("body"),
+                                            *[F.lit("x").alias(c) for c in ("category", "section")])
+    records = lb.label_hierarchical(rows, lambda: Weighing(None), NEWS, "C{TITLE}{ARTICLE}{DESCRIPTION}", "S{TITLE}{ARTICLE}{DESCRIPTION}{CATEGORY}{VALID_SECTIONS}")
+    got = records.select("id", "status", "category_prompt_token_count", "category_response_token_count").collect()
+    assert sorted(r["id"] for r in got) == list(range(150)) and {r["status"] for r in got} == {"success"}
+    assert max(r["category_prompt_token_count"] for r in got) <= lb.ASKED_BYTES + 60_000
+    assert max(r["category_response_token_count"] for r in got) > 10  # and not one by one
+
+
 def test_audit_disagreement_is_found(spark, train, tmp_path):
     log = AuditLog(spark, scratch_path(spark, "audit"))
     done = run_labelling(train, log, labeller(tmp_path / "asked", fixed=True))

@@ -41,6 +41,7 @@ MAX_TILE_ROWS = 262_144  # distinct vectors in a tile; beyond it tiles stay this
 
 CANDIDATE_ROWS = 32_768  # candidates of a tile that are multiplied at once: what a task holds beside its tiles
 HEAD = 1024  # candidates whose best ones bound the others
+BUCKET_ROWS = 131_072  # vectors of a bucket that meet in one task, about; larger buckets are cut
 ASKED_ROWS = 32_768  # rows of a tile that one task asks for, about; more are dealt over several tasks
 
 
@@ -335,40 +336,76 @@ def _exact_hits(
 
 # Approximate join ---------------------------------------------------------------------
 
+def _best_in_bucket(k: int, schema: pa.Schema):
+    """The block kernel for rows that ask (``role`` 0), are candidates (1) or both (2), some rows at a time."""
+    best = _best_in_block(k, schema)
+
+    def run(rows: pa.Table) -> pa.Table:
+        roles = rows["role"].to_numpy()
+
+        def parts(role: int) -> Iterator[pa.Table]:
+            mine = np.flatnonzero((roles == role) | (roles == 2))
+            for at in range(0, len(mine), CANDIDATE_ROWS):
+                some = rows.take(mine[at : at + CANDIDATE_ROWS])
+                column = some.schema.get_field_index("role")
+                yield some.set_column(column, "role", pa.array(np.full(len(some), role, np.int32)))
+
+        found = [schema.empty_table()]
+        for asked in parts(0):
+            hits = [best(pa.concat_tables([asked, candidates])) for candidates in parts(1)]
+            found.extend(hits if len(hits) < 2 else [_best_rows(pa.concat_tables(hits), k)])
+        return pa.concat_tables(found)
+
+    return run
+
+
+def _bucket_rows(signed: DataFrame, chunk_rows: int) -> DataFrame:
+    """Vectors with table, bucket and the two chunks of every task that needs them, each with its ``role`` there.
+
+    A bucket with one chunk takes each of its vectors once; with c chunks a
+    vector goes to 2c - 1 tasks.
+    """
+    placed = F.posexplode("buckets").alias("tab", "bucket")
+    crowd = signed.select(placed).groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    sized = join_hot_keys(signed.select("gid", "vec", "members", placed), crowd, ["tab", "bucket"], "_n")
+    chunks = F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int")
+    chunk = F.pmod(F.xxhash64("gid"), chunks).cast("int")
+    task = lambda q, c, role: F.struct(q.alias("qc"), c.alias("cc"), F.lit(role).alias("role"))
+    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: x != F.col("chunk"))
+    tasks = F.concat(
+        F.array(task(F.col("chunk"), F.col("chunk"), 2)),
+        F.transform(others, lambda x: task(F.col("chunk"), x, 0)),
+        F.transform(others, lambda x: task(x, F.col("chunk"), 1)),
+    )
+    return sized.withColumn("chunks", chunks).withColumn("chunk", chunk).select(
+        "gid", "vec", "members", "tab", "bucket", F.inline(tasks)
+    )
+
+
 def _lsh_hits(
     groups: DataFrame, n: int, k: int, block_rows: int, tables: int, bits: int, seed: int
 ) -> DataFrame:
     """Candidates share a random-hyperplane bucket in one of several tables.
 
-    A crowded bucket is cut into chunks and the chunks are multiplied pair by
-    pair.  Rows that find fewer than k neighbours get theirs from the exact
-    join, so every row has a full list.
+    A vector is written once with all its buckets and travels once per table to
+    the task of its bucket, which multiplies it part by part.  Only a bucket
+    above ``BUCKET_ROWS`` is cut into chunks that meet pair by pair.  Rows that
+    find fewer than k neighbours get theirs from the exact join, so every row
+    has a full list.
     """
     dim = groups.select(F.size("vec")).first()[0]
     base = groups.select("gid", "vec", "members")
     schema = T.StructType([*base.schema.fields, T.StructField("buckets", T.ArrayType(T.LongType()))])
-    signed = base.mapInArrow(_hyperplane_buckets(dim, tables, bits, seed), schema)
-    rows = materialize(
-        signed.select("gid", "vec", "members", F.posexplode("buckets").alias("tab", "bucket")), "knn-lsh"
-    )
-    crowd = rows.groupBy("tab", "bucket").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("_n")
-    ).filter("_n > 1")
-    sized = join_hot_keys(rows, crowd, ["tab", "bucket"], "_n").withColumn(
-        "chunk", F.pmod(F.xxhash64("gid"), F.col("chunks")).cast("int")
-    )
-    others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    keep = ["gid", "vec", "members", "tab", "bucket"]
-    left = sized.select(*keep, F.col("chunk").alias("qc"), others.alias("cc")).withColumn("role", F.lit(0))
-    right = sized.select(*keep, F.col("chunk").alias("cc"), others.alias("qc")).withColumn("role", F.lit(1))
+    signed = materialize(base.mapInArrow(_hyperplane_buckets(dim, tables, bits, seed), schema), "knn-lsh")
     schema = _hit_schema(groups)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     found = (
-        left.unionByName(right)
+        _bucket_rows(signed, max(block_rows, BUCKET_ROWS))
         .groupBy("tab", "bucket", "qc", "cc")
-        .applyInArrow(_best_in_block(k, to_arrow_schema(schema)), schema)
-        # One pair may meet in several tables.
+        .applyInArrow(_best_in_bucket(k, to_arrow_schema(schema)), schema)
+        # One pair may meet in several tables; all hits of a row lie together from here on.
+        .repartition("gid")
         .groupBy("gid", "members", "score")
         .agg(F.max("sim").alias("sim"))
     )

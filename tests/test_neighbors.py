@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpuslab.operators import neighbors as nb
 
@@ -165,3 +166,34 @@ def test_rows_of_a_tile_ask_in_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(nb, "ASKED_ROWS", 30)
     monkeypatch.setattr(nb, "MAX_TILE_ROWS", 128)
     assert sorted(map(tuple, nb.knn(df, "id", "v", 4, block_rows=300).select("id", "rank", "neighbor_id").collect())) == want
+
+
+def test_a_vector_travels_once_to_a_bucket_that_fits_one_task(spark):
+    rng = np.random.default_rng(12)
+    signed = spark.createDataFrame(
+        [(i, rng.normal(size=4).tolist(), [i], [i % 2, 0]) for i in range(100)],
+        "gid long, vec array<double>, members array<long>, buckets array<long>",
+    )
+    whole = nb._bucket_rows(signed, 4096).collect()
+    assert len(whole) == 200 and {r["role"] for r in whole} == {2}
+    cut = nb._bucket_rows(signed, 30)  # 50, 50 and 100 rows: 2, 2 and 4 chunks
+    assert cut.count() == 100 * 3 + 100 * 7
+    asks = cut.filter("role <> 1").groupBy("tab", "bucket", "gid").agg(F.collect_set("cc").alias("met"), F.count(F.lit(1)).alias("n"))
+    assert {(len(r["met"]), r["n"]) for r in asks.collect()} == {(2, 2), (4, 4)}
+
+
+@pytest.mark.parametrize("bucket_rows, candidate_rows", [(1 << 17, 1 << 15), (64, 1 << 15), (1 << 17, 37), (64, 23)])
+def test_buckets_cut_into_chunks_and_parts_give_the_same_lists(spark, monkeypatch, bucket_rows, candidate_rows):
+    rng = np.random.default_rng(13)
+    v, ids = rng.normal(size=(300, 8)), list(range(300))
+    monkeypatch.setattr(nb, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(nb, "CANDIDATE_ROWS", candidate_rows)
+    df = frame(spark, ids, v)
+    # One plane: both buckets hold about half of the rows, and the lists are the best of the own half.
+    planes = np.random.default_rng(42).standard_normal((1, 1, 8))
+    side = v @ planes[0, 0] > 0
+    got = lists(nb.knn(df, "id", "v", 4, "lsh", tables=1, bits=1, block_rows=32))
+    for half in (True, False):
+        mine = [i for i in ids if side[i] == half]
+        want = brute(mine, v[mine], 4)
+        assert {i: got[i] for i in mine} == want
